@@ -28,11 +28,12 @@ def all_rules(rules: Sequence[Rule]) -> Column:
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Rows meeting every rule.  One ``Filter`` that Catalyst splits into
-    conjuncts and pushes to the scan where the columns allow."""
+    """Rows meeting every rule.  The plain conjunction (``filter`` already
+    drops NULL), so Catalyst splits it into conjuncts and pushes the simple
+    comparisons to the Parquet scan."""
     if not rules:
         return df
-    return df.where(all_rules(rules))
+    return df.where(reduce(lambda a, b: a & b, [r.condition for r in rules]))
 
 
 def funnel(df: DataFrame, rules: Sequence[Rule], base_name: str = BASE_STEP) -> DataFrame:

@@ -225,8 +225,12 @@ STEP_SQL = ("CAST(CASE WHEN l_returnflag = 'R' THEN 500 WHEN l_returnflag = 'A'
 
 
 def separable_features() -> dict[str, Column]:
-    a = F.col("l_quantity") / F.lit(50) + F.when(F.col("l_linestatus") == "F", F.lit(100)).otherwise(F.lit(0))
-    return {"sep_a": a, "sep_b": F.col("l_tax")}
+    """Two tight, far-apart blobs (one per line status) on both axes, so
+    k = 2 has one optimum whatever the initialisation."""
+    is_f = F.col("l_linestatus") == "F"
+    a = F.col("l_quantity") / F.lit(50) + F.when(is_f, F.lit(100)).otherwise(F.lit(0))
+    b = F.col("l_tax") + F.when(is_f, F.lit(10)).otherwise(F.lit(0))
+    return {"sep_a": a, "sep_b": b}
 
 
 SEPARABLE_CLUSTER_SQL = "CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END"
