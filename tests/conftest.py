@@ -19,3 +19,8 @@ def spark():
 @pytest.fixture()
 def tmp_dir(tmp_path):
     return str(tmp_path)
+
+
+def plan_text(df) -> str:
+    """The formatted physical plan (full scan metadata, no truncation)."""
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")

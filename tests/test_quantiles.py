@@ -1,3 +1,4 @@
+from tests.conftest import plan_text
 import math
 import random
 
@@ -69,5 +70,5 @@ def test_wide_and_approx(spark):
 
 def test_target_table_is_broadcast_with_bound(spark):
     df = spark.range(1000).selectExpr("CAST(id % 3 AS STRING) AS g", "CAST(id AS DOUBLE) AS x")
-    plan = exact_quantiles(df, "x", [0.5], ["g"], group_bound=3)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(exact_quantiles(df, "x", [0.5], ["g"], group_bound=3))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan

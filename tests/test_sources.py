@@ -1,3 +1,4 @@
+from tests.conftest import plan_text
 import os
 
 import pytest
@@ -75,5 +76,5 @@ def test_read_or_build_and_partition_pruning(spark):
     b = store.read_or_build(spark, path, build, partition_by=["role"])
     assert len(calls) == 1 and a.count() == b.count() == 10
     hold = spark.read.parquet(path).where(F.col("role") == "holdout")
-    plan = hold._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(hold)
     assert "PartitionFilters" in plan and hold.count() == 3

@@ -1,3 +1,4 @@
+from tests.conftest import plan_text
 import math
 import random
 
@@ -68,7 +69,7 @@ def test_histogram_counts_all_rows(frame):
 
 
 def test_histogram_plan_has_no_cartesian(frame):
-    plan = stats.histogram(frame, "c")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(stats.histogram(frame, "c"))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
@@ -89,5 +90,5 @@ def test_seeded_sample_independent_of_partitioning(frame):
     b = sorted(r["id"] for r in stats.seeded_sample(frame.repartition(7, "g"), 100, ["id"]).collect())
     assert a == b and len(a) == 100
     assert stats.seeded_sample(frame.limit(10), 100, ["id"]).count() == 10
-    plan = stats.seeded_sample(frame, 100, ["id"])._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(stats.seeded_sample(frame, 100, ["id"]))
     assert "TakeOrderedAndProject" in plan
