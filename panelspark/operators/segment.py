@@ -36,6 +36,23 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         df.unpersist()
 
 
+def fit_input(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
+              partitions: int | None = None) -> DataFrame:
+    """Rows laid out for an iterative fit: hash-partitioned on ``keys`` and
+    sorted within partitions.
+
+    KMeans, forests and the quasi-Newton solvers give results that depend on
+    how rows are split into partitions (and on their order), even with a
+    seed.  A key-based layout makes every fit reproducible whatever the input
+    files look like, and spreads a few large input splits over all cores
+    before the data is passed over many times.  ``columns`` prunes what is
+    shuffled and persisted.
+    """
+    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    cols = list(dict.fromkeys([*keys, *columns])) if columns is not None else df.columns
+    return df.select(*cols).repartition(n, *keys).sortWithinPartitions(*keys)
+
+
 def scaler_pipeline(columns: Sequence[str], raw_col: str = "features_raw",
                     out_col: str = "features") -> Pipeline:
     """VectorAssembler + StandardScaler(withMean, withStd) (sample std)."""
@@ -55,19 +72,19 @@ def standardized_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[s
 
 
 def kmeans_sweep(df: DataFrame, features_col: str, ks: Sequence[int] = (2, 3, 4, 5),
-                 seed: int = 42, prediction_col: str = "cluster",
-                 max_iter: int = 20) -> tuple[DataFrame, dict[int, KMeansModel]]:
+                 seed: int = 42, prediction_col: str = "cluster", max_iter: int = 20,
+                 keys: Sequence[str] | None = None) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """Fit KMeans for every k; silhouette (squared Euclidean) and WSSSE.
 
     Returns the result table ``k, silhouette, wssse, chosen`` (chosen = max
-    silhouette, smallest k on ties) and the fitted models.  ``df`` should
-    already be partitioned deterministically (KMeans' result depends on the
-    partitioning even with a seed).
+    silhouette, smallest k on ties) and the fitted models.  With ``keys`` the
+    features are first laid out by ``fit_input`` (reproducible fits).
     """
     evaluator = ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction_col,
                                     metricName="silhouette", distanceMeasure="squaredEuclidean")
     rows, models = [], {}
-    with persisted(df.select(features_col)) as feats:
+    source = fit_input(df, keys, [features_col]) if keys else df.select(features_col)
+    with persisted(source.select(features_col)) as feats:
         for k in ks:
             model = KMeans(featuresCol=features_col, predictionCol=prediction_col, k=k,
                            seed=seed, maxIter=max_iter).fit(feats)
@@ -147,12 +164,15 @@ def describe_clusters(profile: DataFrame, data: DataFrame, means: Sequence[str],
 
 
 def fit_segments(df: DataFrame, columns: Sequence[str], k: int, seed: int = 42,
-                 cluster_col: str = "cluster") -> tuple[PipelineModel, DataFrame]:
+                 cluster_col: str = "cluster", keys: Sequence[str] | None = None
+                 ) -> tuple[PipelineModel, DataFrame]:
     """Scale ``columns``, fit KMeans(k) and return (model, rows with clusters
-    numbered canonically)."""
+    numbered canonically).  With ``keys`` the fit input is laid out by
+    ``fit_input``; all rows of ``df`` are scored."""
     pipe = Pipeline(stages=[*scaler_pipeline(columns).getStages(),
                             KMeans(featuresCol="features", predictionCol="_cluster", k=k, seed=seed)])
-    with persisted(df) as cached:
+    source = fit_input(df, keys, columns) if keys else df.select(*columns)
+    with persisted(source) as cached:
         model = pipe.fit(cached)
     km: KMeansModel = model.stages[-1]
     mapping = {str(a): str(b) for a, b in canonical_cluster_map(km).items()}

@@ -464,13 +464,13 @@ def q_standardized_features(spark, sf_dir):
 def q_kmeans_sweep(spark, sf_dir):
     li = S.table(spark, sf_dir, "lineitem")
     feats = segment.scaler_pipeline(STD_COLUMNS).fit(li).transform(li)
-    table, _ = segment.kmeans_sweep(feats, "features", ks=(2, 3, 4, 5), seed=42)
+    table, _ = segment.kmeans_sweep(feats, "features", ks=(2, 3, 4, 5), seed=42, keys=KEY3)
     return table.select("k", r6("silhouette").alias("silhouette"), r4("wssse").alias("wssse"), "chosen")
 
 
 def _separable(spark, sf_dir):
     li = S.table(spark, sf_dir, "lineitem").withColumns(S.separable_features())
-    _, scored = segment.fit_segments(li, ["sep_a", "sep_b"], k=2, seed=42)
+    _, scored = segment.fit_segments(li, ["sep_a", "sep_b"], k=2, seed=42, keys=KEY3)
     return scored
 
 
@@ -667,12 +667,12 @@ def _linear_sets(spark, sf_dir):
 @query("ridge_sweep")
 def q_ridge_sweep(spark, sf_dir):
     train, valid, _ = _linear_sets(spark, sf_dir)
-    res = regress.ridge_sweep(train, valid, LINEAR_SPEC)
+    res = regress.ridge_sweep(train, valid, LINEAR_SPEC, keys=KEY3)
     return _round_metrics(res.table)
 
 
 def _linear_model(spark, sf_dir, train):
-    return regress.linear_pipeline(LINEAR_SPEC, 0.0).fit(train)
+    return regress.fit_pipeline(regress.linear_pipeline(LINEAR_SPEC, 0.0), train, LINEAR_SPEC, KEY3)
 
 
 LINEAR_PRED_SQL = f"SELECT {KEY3_SQL}, round({S.LINEAR_SQL}, 2) AS prediction FROM lineitem"
@@ -690,7 +690,7 @@ def q_linreg_predict(spark, sf_dir):
 def q_rf_sweep(spark, sf_dir):
     dev, _ = _dev_holdout(spark, sf_dir)
     train, valid = regress.split_frames(dev.withColumn("z", S.step_target()), KEY3, 80, S.SPLIT_SALT)
-    res = regress.forest_sweep(train, valid, STEP_SPEC, configs=((60, 8), (120, 12)))
+    res = regress.forest_sweep(train, valid, STEP_SPEC, configs=((60, 8), (120, 12)), keys=KEY3)
     return _round_metrics(res.table)
 
 
@@ -698,7 +698,8 @@ def q_rf_sweep(spark, sf_dir):
 def q_rf_predict(spark, sf_dir):
     dev, _ = _dev_holdout(spark, sf_dir)
     train, _ = regress.split_frames(dev.withColumn("z", S.step_target()), KEY3, 80, S.SPLIT_SALT)
-    model = regress.forest_pipeline(STEP_SPEC, num_trees=20, max_depth=5, subset="all").fit(train)
+    model = regress.fit_pipeline(regress.forest_pipeline(STEP_SPEC, num_trees=20, max_depth=5, subset="all"),
+                                 train, STEP_SPEC, KEY3)
     li = S.table(spark, sf_dir, "lineitem")
     return model.transform(li).select(*KEY3, F.round("prediction", 2).alias("prediction"))
 
@@ -706,8 +707,8 @@ def q_rf_predict(spark, sf_dir):
 @query("model_comparison")
 def q_model_comparison(spark, sf_dir):
     train, valid, _ = _linear_sets(spark, sf_dir)
-    ridge = regress.ridge_sweep(train, valid, LINEAR_SPEC)
-    forest = regress.forest_sweep(train, valid, LINEAR_SPEC, configs=((60, 8), (120, 12)))
+    ridge = regress.ridge_sweep(train, valid, LINEAR_SPEC, keys=KEY3)
+    forest = regress.forest_sweep(train, valid, LINEAR_SPEC, configs=((60, 8), (120, 12)), keys=KEY3)
     base = regress.regression_metrics(regress.baseline_mean(train, valid, "y"), "y")
     lin = regress.regression_metrics(ridge.best_model.transform(valid), "y")
     rf = regress.regression_metrics(forest.best_model.transform(valid), "y")
