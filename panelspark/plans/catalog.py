@@ -105,6 +105,33 @@ def _manifest_values_sql() -> str:
     return f"(VALUES {rows}) m(period, file_name, expected_rows)"
 
 
+@query("stream_ingest_periods", sql=(
+    f"SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, "
+    f"l_returnflag, 'lineitem_' || CAST(year(l_shipdate) AS VARCHAR) AS source_file, "
+    f"CAST(year(l_shipdate) AS VARCHAR) AS period, CAST(year(l_shipdate) AS INTEGER) AS year "
+    f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL})"))
+def q_stream_ingest_periods(spark, sf_dir):
+    """The yearly slices land as one folder per period file; a file-source
+    stream ingests whatever has landed (exactly once, checkpointed) into the
+    period-partitioned dataset, which is then read back."""
+    from pyspark.sql import types as T
+    from panelspark.streaming.ingest import ingest_available, period_stream
+    landing = shared_dir(spark, "landing", unique=True)
+    li = S.table(spark, sf_dir, "lineitem").where(F.year("l_shipdate").isin(*S.YEARS))
+    store.write_parquet(li.select(*UNION_COLUMNS, F.concat(F.lit("lineitem_"), F.year("l_shipdate")
+                                                            .cast("string")).alias("source_file")),
+                        landing, partition_by=["source_file"])
+    schema = T.StructType([*[li.schema[c] for c in UNION_COLUMNS],
+                           T.StructField("source_file", T.StringType())])
+    man = M.manifest_frame(spark, S.period_files())
+    stream = period_stream(spark, landing, {c: c for c in UNION_COLUMNS}, man, schema=schema,
+                           source_col="source_file")
+    out = shared_dir(spark, "ingested", unique=True)
+    ingest_available(stream, out, shared_dir(spark, "ingest-checkpoint", unique=True))
+    return spark.read.parquet(out).select(*UNION_COLUMNS, "source_file", "period",
+                                          F.col("year").cast("int"))
+
+
 @query("manifest_row_audit", sql=(
     f"WITH l AS (SELECT CAST(year(l_shipdate) AS VARCHAR) AS period, count(*) AS n "
     f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL}) GROUP BY 1) "
