@@ -94,3 +94,14 @@ def test_leaderboard_and_diagnostics(spark, lines):
     sample = diagnose.paired_sample(pred, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
                                     ["prediction", "pred_b"], n=50)
     assert sample.count() == 50
+
+
+def test_split_variants(spark, lines):
+    li = lines.withColumn("period", F.year("l_shipdate").cast("string"))
+    tr, va = regress.period_split(li, "period", ["2001"])
+    assert va.where(F.col("period") != "2001").count() == 0 and tr.count() + va.count() == li.count()
+    # Group split: hashing the order key alone keeps all lines of an order together.
+    tr, va = regress.split_frames(li, ["l_orderkey"])
+    assert tr.join(va, "l_orderkey", "left_semi").count() == 0
+    tr, va = regress.split_frames(li, [], method="random", seed=42)
+    assert tr.count() + va.count() == li.count()
