@@ -35,20 +35,39 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "n") ->
     return crosstab_counts(df, keys, count_col).where(F.col(count_col) > 1)
 
 
+def rows_with_repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key occurs more than once (NULL keys included).
+
+    Key counts come from a partial aggregation; the repeated keys then filter
+    the rows through a null-safe left-semi join.  Repeated keys are usually
+    few, so AQE broadcasts them by their measured size and the rows are
+    filtered where they are; otherwise it is a shuffle join whose skewed
+    partitions AQE splits.
+    """
+    dup = duplicate_keys(df, keys)
+    renamed = {k: f"_dk{i}" for i, k in enumerate(keys)}
+    small = dup.select(*[F.col(k).alias(v) for k, v in renamed.items()])
+    cond = None
+    for k, v in renamed.items():
+        c = F.col(k).eqNullSafe(F.col(v))
+        cond = c if cond is None else cond & c
+    return df.join(small, cond, "left_semi")
+
+
 def duplicate_versions(df: DataFrame, keys: Sequence[str],
                        columns: Sequence[str] | None = None) -> DataFrame:
     """For every repeated key: rows and distinct row versions.
 
     ``versions == 1`` means exact copies; more means conflicting records.
-    One aggregation with a distinct count (Spark expands it into a
-    ``(key, fingerprint)`` pre-aggregation, so a hot key is combined on the
-    map side); no join back to the rows is needed.
+    Only rows of repeated keys are fingerprinted; the distinct count is
+    planned as a ``(key, fingerprint)`` pre-aggregation, so a hot key is
+    combined on the map side.
     """
     cols = list(columns) if columns is not None else list(df.columns)
-    return (df.withColumn("_fp", fingerprint(cols))
+    return (rows_with_repeated_keys(df, keys)
+            .withColumn("_fp", fingerprint(cols))
             .groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_fp").alias("versions"))
-            .where(F.col("n") > 1))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("_fp").alias("versions")))
 
 
 def version_histogram(versions: DataFrame, versions_col: str = "versions") -> DataFrame:

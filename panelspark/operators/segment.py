@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from panelspark.functions.columns import map_literal
 from panelspark.operators.quantiles import quantiles_wide
-from panelspark.operators.stats import group_mode
+from panelspark.operators.stats import group_modes
 
 
 @contextmanager
@@ -135,16 +135,16 @@ def cluster_profile(df: DataFrame, cluster_col: str, means: Sequence[str], media
     ``median_of`` and the mode of each ``modes`` column (``column -> name``).
 
     Means and counts in one aggregate; medians by distributed selection;
-    modes as order-statistic aggregates; the pieces (k rows each) are joined
-    on the cluster id.
+    all modes in one stacked order-statistic aggregate; the three pieces
+    (k rows each) are joined on the cluster id.
     """
     numeric = df.groupBy(cluster_col).agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"{c}_mean") for c in means])
     med = quantiles_wide(df, median_of, [0.5], [f"{median_of}_median"], by=[cluster_col],
                          group_bound=cluster_bound)
     out = numeric.join(med, cluster_col, "left")
-    for column, name in modes.items():
-        out = out.join(group_mode(df, [cluster_col], column, name), cluster_col, "left")
+    if modes:
+        out = out.join(group_modes(df, [cluster_col], dict(modes)), cluster_col, "left")
     return out
 
 

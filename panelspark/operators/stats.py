@@ -158,3 +158,19 @@ def group_mode(df: DataFrame, by: Sequence[str], column: str, out_col: str | Non
     best = counted.groupBy(*by).agg(
         F.min(F.struct((-F.col("_c")).alias("neg"), F.col(column).alias("v"))).alias("_b"))
     return best.select(*by, F.col("_b.v").alias(out))
+
+
+def group_modes(df: DataFrame, by: Sequence[str], columns: dict[str, str]) -> DataFrame:
+    """Modes of several columns per group in one pass: ``column -> output
+    name``.  The columns are stacked (narrow), counted per (group, column,
+    value), reduced with ``min(struct(-count, value))`` per (group, column)
+    and turned wide with a conditional aggregate over the small result."""
+    by = list(by)
+    cols = list(columns)
+    stacked = (df.select(*by, *[F.col(c).cast("string").alias(c) for c in cols])
+               .unpivot(by, cols, "_var", "_val").where(F.col("_val").isNotNull()))
+    counted = stacked.groupBy(*by, "_var", "_val").agg(F.count(F.lit(1)).alias("_c"))
+    best = counted.groupBy(*by, "_var").agg(
+        F.min(F.struct((-F.col("_c")).alias("neg"), F.col("_val").alias("v"))).alias("_b"))
+    return best.groupBy(*by).agg(*[
+        F.max(F.when(F.col("_var") == c, F.col("_b.v"))).alias(out) for c, out in columns.items()])

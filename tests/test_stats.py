@@ -92,3 +92,12 @@ def test_seeded_sample_independent_of_partitioning(frame):
     assert stats.seeded_sample(frame.limit(10), 100, ["id"]).count() == 10
     plan = plan_text(stats.seeded_sample(frame, 100, ["id"]))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_group_modes_match_single_modes(spark):
+    rows = [(1, "b", "x"), (1, "a", "y"), (1, "b", "y"), (2, "c", None), (2, "a", "z"), (2, "c", "z")]
+    df = spark.createDataFrame(rows, "k int, u string, w string")
+    both = {r["k"]: (r["u_m"], r["w_m"]) for r in stats.group_modes(df, ["k"], {"u": "u_m", "w": "w_m"}).collect()}
+    single_u = {r["k"]: r["u_m"] for r in stats.group_mode(df, ["k"], "u", "u_m").collect()}
+    single_w = {r["k"]: r["w_m"] for r in stats.group_mode(df, ["k"], "w", "w_m").collect()}
+    assert both == {k: (single_u[k], single_w[k]) for k in both} == {1: ("b", "y"), 2: ("c", "z")}
