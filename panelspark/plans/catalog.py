@@ -128,7 +128,8 @@ def q_stream_ingest_periods(spark, sf_dir):
                            source_col="source_file")
     out = shared_dir(spark, "ingested", unique=True)
     ingest_available(stream, out, shared_dir(spark, "ingest-checkpoint", unique=True))
-    return spark.read.parquet(out).select(*UNION_COLUMNS, "source_file", "period",
+    # Partition discovery reads the period directories back as numbers.
+    return spark.read.parquet(out).select(*UNION_COLUMNS, "source_file", F.col("period").cast("string"),
                                           F.col("year").cast("int"))
 
 
