@@ -39,6 +39,19 @@ def is_finite(c: ColumnLike) -> Column:
     return F.coalesce(F.abs(col(c)) < F.lit(float("inf")), F.lit(False))
 
 
+def is_integer_between(c: ColumnLike, lo: int, hi: int, max_list: int = 1024) -> Column:
+    """Finite, integer-valued and in ``[lo, hi]`` (false for NULL / NaN / inf).
+
+    For a short range this is ``c IN (lo.0, ..., hi.0)``: one reference to
+    ``c`` (an ``InSet`` lookup) instead of five, which matters when ``c`` is
+    a derived expression that Catalyst inlines into the filter.
+    """
+    v = col(c)
+    if hi - lo + 1 <= max_list:
+        return F.coalesce(v.isin(*[float(i) for i in range(lo, hi + 1)]), F.lit(False))
+    return is_finite(v) & (v >= lo) & (v <= hi) & (v == F.floor(v))
+
+
 def blank_to_null(c: ColumnLike) -> Column:
     """Trimmed text, with the empty string turned into NULL."""
     return F.nullif(F.trim(col(c)), F.lit(""))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from panelspark.functions.columns import to_double
 from panelspark.operators.funnel import Rule
-from panelspark.functions.columns import is_finite
+from panelspark.functions.columns import is_finite, is_integer_between
 from panelspark.sources.manifest import PeriodFile
 
 # --- fixed values of the stand-in -------------------------------------------
@@ -141,8 +141,7 @@ def eligibility_rules() -> list[Rule]:
     Rule("priority 1-4", F.col("priority_code").isin("1", "2", "3", "4")),
     Rule("price finite and > 0", _fin("l_extendedprice") & (F.col("l_extendedprice") > 0)),
     Rule("years finite and >= 0", _fin("years") & (F.col("years") >= 0)),
-    Rule("months integer 0-11", _fin("months") & (F.col("months") >= 0) & (F.col("months") <= 11)
-         & (F.col("months") == F.floor("months"))),
+    Rule("months integer 0-11", is_integer_between("months", 0, 11)),
     Rule("tenure <= quantity", _fin("tenure") & (F.col("tenure") <= F.col("l_quantity"))),
     Rule("hours in (0, 168]", _fin("hours") & (F.col("hours") > 0) & (F.col("hours") <= 168)),
     ]

@@ -1,7 +1,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from panelspark.functions import (clean_code_text, fingerprint, hash_percent, is_finite,
+from panelspark.functions import (clean_code_text, fingerprint, hash_percent, is_finite, is_integer_between,
                                   is_missing, labelled_code, to_double, value_band)
 
 
@@ -70,3 +70,11 @@ def test_value_band(spark):
     df = spark.createDataFrame([(1.0,), (5.0,), (9.0,), (20.0,)], "x double")
     out = [r[0] for r in df.select(value_band("x", [5.0, 10.0], ["lo", "mid", "hi"])).collect()]
     assert out == ["lo", "lo", "mid", "hi"]
+
+
+def test_is_integer_between_matches_long_form(spark):
+    vals = [0.0, 1.0, 11.0, 12.0, -1.0, 3.5, float("nan"), float("inf"), float("-inf"), None, 5.0]
+    df = spark.createDataFrame([(v,) for v in vals], "m double")
+    short = [r[0] for r in df.select(is_integer_between("m", 0, 11)).collect()]
+    long_ = [r[0] for r in df.select(is_integer_between("m", 0, 11, max_list=1)).collect()]
+    assert short == long_ == [True, True, True, False, False, False, False, False, False, False, True]
