@@ -74,3 +74,13 @@ def test_eligibility_filter_reaches_scan(spark):
     df = E.queries()["eligible_rows"](spark, SF_SMALL)
     plan = plan_text(df)
     assert "EqualTo(l_linestatus,O)" in plan and "GreaterThanOrEqual(l_quantity,2.0)" in plan
+
+
+def test_approx_median_within_rank_error(spark):
+    exact = {r["priority_code"]: (r["n"], r["median_price"]) for r in E.queries()["group_median"](spark, SF_SMALL).collect()}
+    approx = {r["priority_code"]: r["median_price"] for r in E.queries()["group_median_approx"](spark, SF_SMALL).collect()}
+    rows = E.queries()["eligible_rows"](spark, SF_SMALL).select("priority_code", "l_extendedprice").collect()
+    for code, (n, med) in exact.items():
+        xs = sorted(r[1] for r in rows if r[0] == code)
+        rank = xs.index(approx[code]) + 1
+        assert abs(rank - xs.index(med) - 1) <= max(1, n // 10000 + 1)

@@ -6,7 +6,6 @@ import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import functions as F
 
 from panelspark.operators import stats
 
