@@ -8,7 +8,8 @@ putting a whole group in one task:
 1. pre-aggregate ``(group, value) -> count`` (map-side combine; a value that
    repeats many times collapses to one row, so no single key is hot);
 2. range-partition those rows on ``(group, value)``: Spark samples the keys,
-   so a large group is cut into many contiguous value slices;
+   so a large group is cut into many contiguous value slices (AQE may merge
+   neighbours, which keeps them contiguous);
 3. one small aggregate gives each slice's ``[lo, hi]`` and row count; a
    running sum over that table (at most slices + groups rows) finds, for each
    group and probability, the slice holding rank ``max(1, ceil(p * n))`` and
@@ -56,12 +57,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     by = list(by)
     if not probs:
         raise ValueError("probs must not be empty")
-    spark = df.sparkSession
-    n_slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
     vals = df.select(*by, F.col(value).alias("_x")).where(F.col("_x").isNotNull())
     counted = vals.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = counted.repartitionByRange(n_slices, *by, "_x")
+    # Without an explicit count AQE may merge adjacent range partitions up to
+    # its advisory size: slices stay contiguous value ranges (all this needs)
+    # and their size is bounded at any scale.
+    ranged = (counted.repartitionByRange(slices, *by, "_x") if slices
+              else counted.repartitionByRange(*by, "_x"))
 
     slice_stats = (
         ranged.withColumn("_slice", F.spark_partition_id())
