@@ -89,6 +89,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     renamed = {k: f"_k{i}" for i, k in enumerate(by)}
     small = targets.select(*[F.col(k).alias(v) for k, v in renamed.items()],
                            "_p", "_lo", "_hi", "_local")
+    # Without groups there is no equi-key: the join is a broadcast nested-loop
+    # *range filter* of each row against at most len(probs) target rows
+    # (O(rows x probs) comparisons, never a product of two large sides).
     bound = 1 if not by else group_bound
     if bound is not None and bound * len(probs) <= _BROADCAST_TARGET_ROWS:
         small = F.broadcast(small)

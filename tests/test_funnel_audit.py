@@ -69,3 +69,19 @@ def test_row_count_check(spark):
     exp = spark.createDataFrame([("p1", 2), ("p2", 2), ("p3", 0)], "period string, expected_rows long")
     out = {r["period"]: (r["rows"], r["ok"]) for r in audit.row_count_check(df, exp, ["period"]).collect()}
     assert out == {"p1": (2, True), "p2": (1, False), "p3": (0, True)}
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_vals = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True, width=32), st.integers(-5, 40))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(_vals, st.sampled_from(["1", "2", None]), _vals), min_size=0, max_size=40))
+def test_funnel_property(spark, data):
+    rows = [(None if a is None else float(a), o, None if p is None else float(p)) for a, o, p in data]
+    df = spark.createDataFrame(rows, "age double, occ string, pay double")
+    one = [(r["step_no"], r["step"], r["remaining"], r["excluded"])
+           for r in funnel.funnel(df, _rules()).orderBy("step_no").collect()]
+    assert one == funnel.funnel_stepwise(df, _rules())
