@@ -105,3 +105,13 @@ def test_split_variants(spark, lines):
     assert tr.join(va, "l_orderkey", "left_semi").count() == 0
     tr, va = regress.split_frames(li, [], method="random", seed=42)
     assert tr.count() + va.count() == li.count()
+
+
+def test_refit_on_dev_then_holdout(spark, lines):
+    li = lines.withColumns({"y": S.linear_target(), "year": F.year("l_shipdate")})
+    dev, hold = li.where(F.col("year") < 2001), li.where(F.col("year") == 2001)
+    spec = regress.FeatureSpec(("l_quantity", "l_discount", "l_tax"), ("l_returnflag",), "y")
+    models = regress.refit_on_dev([("linear", regress.linear_pipeline(spec, 0.0))], dev, spec,
+                                  keys=["l_orderkey", "l_linenumber", "l_partkey"])
+    out = regress.holdout_evaluation(models, hold, "y").first()
+    assert out["rows_ok"] and out["rmse"] < 1e-3
