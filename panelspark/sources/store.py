@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -18,6 +19,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     writer.parquet(path)
 
 
+def write_parquet_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                          expected_rows: int | None = None, mode: str = "overwrite") -> int:
+    """Write and count the rows in the same job (``DataFrame.observe``: the
+    count is a metric of the write, not a second pass).  Raises when
+    ``expected_rows`` is given and differs."""
+    obs = Observation("rows_written")
+    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by, mode)
+    rows = int(obs.get["rows"])
+    if expected_rows is not None and rows != expected_rows:
+        raise ValueError(f"{path}: expected {expected_rows} rows, wrote {rows}")
+    return rows
+
+
 def dataset_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a completed write (``_SUCCESS`` marker)."""
     jvm = spark.sparkContext._jvm

@@ -78,3 +78,12 @@ def test_read_or_build_and_partition_pruning(spark):
     hold = spark.read.parquet(path).where(F.col("role") == "holdout")
     plan = plan_text(hold)
     assert "PartitionFilters" in plan and hold.count() == 3
+
+
+def test_write_counted_and_shared_dir(spark):
+    path = shared_dir(spark, "counted", unique=True)
+    assert path.startswith(spark.sparkContext.getCheckpointDir().rstrip("/")) or \
+        path.startswith(spark.conf.get("spark.checkpoint.dir", ""))
+    assert store.write_parquet_counted(spark.range(25), path, expected_rows=25) == 25
+    with pytest.raises(ValueError):
+        store.write_parquet_counted(spark.range(3), shared_dir(spark, "counted", unique=True), expected_rows=4)
