@@ -36,6 +36,24 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         df.unpersist()
 
 
+def materialize(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Cut the lineage of rows that several branches read: the needed columns
+    are written once as Parquet under the shared ``spark.checkpoint.dir``
+    folder and read back.
+
+    Scored rows carry MLlib UDFs that Spark treats as nondeterministic, so
+    without this every branch would re-run the scoring and no exchange over
+    them could be reused; a lost executor re-reads the files instead of
+    recomputing the model.  Parquet (columnar, compressed, vectorised reads)
+    rather than ``checkpoint()``'s serialised rows.
+    """
+    from panelspark.session import shared_dir
+    from panelspark.sources.store import write_parquet
+    path = shared_dir(df.sparkSession, "materialized", unique=True)
+    write_parquet(df.select(*columns) if columns is not None else df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fit_input(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
               partitions: int | None = None) -> DataFrame:
     """Rows laid out for an iterative fit: hash-partitioned on ``keys`` and

@@ -558,7 +558,8 @@ PROFILE_MODES = {"l_returnflag": "returnflag_mode", "l_linestatus": "linestatus_
 
 
 def _profile(spark, sf_dir):
-    scored = _separable(spark, sf_dir)
+    scored = segment.materialize(_separable(spark, sf_dir),
+                                 ["cluster", "l_quantity", "l_tax", "l_extendedprice", *PROFILE_MODES])
     prof = segment.cluster_profile(scored, "cluster", ["l_quantity", "l_tax"], "l_extendedprice",
                                    PROFILE_MODES, cluster_bound=2)
     return scored, prof
