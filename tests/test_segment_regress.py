@@ -115,3 +115,10 @@ def test_refit_on_dev_then_holdout(spark, lines):
                                   keys=["l_orderkey", "l_linenumber", "l_partkey"])
     out = regress.holdout_evaluation(models, hold, "y").first()
     assert out["rows_ok"] and out["rmse"] < 1e-3
+
+
+def test_task_memory_budget(spark):
+    assert regress._memory_mb("4g") == 4096 and regress._memory_mb("512m") == 512
+    assert regress._memory_mb("1024") == 1024
+    budget = regress.task_memory_mb(spark)
+    assert 16 <= budget <= 256
