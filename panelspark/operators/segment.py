@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from panelspark.functions.columns import map_literal
 from panelspark.operators.quantiles import quantiles_wide
-from panelspark.operators.stats import group_modes
+from panelspark.operators.stats import combine_by_key, group_modes
 
 
 @contextmanager
@@ -154,16 +154,17 @@ def cluster_profile(df: DataFrame, cluster_col: str, means: Sequence[str], media
 
     Means and counts in one aggregate; medians by distributed selection;
     all modes in one stacked order-statistic aggregate; the three pieces
-    (k rows each) are joined on the cluster id.
+    (k rows each) are combined per cluster (``stats.combine_by_key``).
     """
     numeric = df.groupBy(cluster_col).agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"{c}_mean") for c in means])
     med = quantiles_wide(df, median_of, [0.5], [f"{median_of}_median"], by=[cluster_col],
                          group_bound=cluster_bound)
-    out = numeric.join(med, cluster_col, "left")
+    pieces = [numeric, med]
     if modes:
-        out = out.join(group_modes(df, [cluster_col], dict(modes)), cluster_col, "left")
-    return out
+        pieces.append(group_modes(df, [cluster_col], dict(modes)))
+    cols = [cluster_col, "n", *[f"{c}_mean" for c in means], f"{median_of}_median", *modes.values()]
+    return combine_by_key(pieces, [cluster_col]).select(*cols)
 
 
 def describe_clusters(profile: DataFrame, data: DataFrame, means: Sequence[str],

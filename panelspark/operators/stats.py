@@ -43,6 +43,21 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], method: str = "exact"
         "variable", "n", "mean", "median", "stddev", "min", "p25", "p75", "p95", "max")
 
 
+def combine_by_key(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
+    """Per-group pieces computed from one source (one row per group each,
+    disjoint value columns) put side by side: stacked with ``unionByName``
+    and collapsed with one aggregate.  Unlike a join of two plans over the
+    same source, a union needs no attribute renaming, so exchanges shared by
+    the pieces stay reusable; NULL groups collapse together as in GROUP BY."""
+    by = list(by)
+    stacked = frames[0]
+    for f in frames[1:]:
+        stacked = stacked.unionByName(f, allowMissingColumns=True)
+    values = [c for c in stacked.columns if c not in by]
+    grouped = stacked.groupBy(*by) if by else stacked.groupBy()
+    return grouped.agg(*[F.max(c).alias(c) for c in values])
+
+
 def group_median(df: DataFrame, value: str, by: Sequence[str], method: str = "exact",
                  accuracy: int = 10000, group_bound: int | None = None,
                  median_col: str = "median") -> DataFrame:
@@ -51,12 +66,8 @@ def group_median(df: DataFrame, value: str, by: Sequence[str], method: str = "ex
     counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     med = quantiles_wide(df, value, [0.5], [median_col], by=by, method=method,
                          accuracy=accuracy, group_bound=group_bound)
-    cond = None
-    for k in by:
-        c = counts[k].eqNullSafe(med[k])
-        cond = c if cond is None else cond & c
-    joined = counts.join(med, cond, "left").select(*[counts[k] for k in by], "n", median_col)
-    return joined.orderBy(F.desc_nulls_last(median_col), *by)
+    out = combine_by_key([counts, med], by).select(*by, "n", median_col)
+    return out.orderBy(F.desc_nulls_last(median_col), *by)
 
 
 def category_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
