@@ -39,7 +39,7 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], method: str = "exact"
     stacked = _stack(df.select(*[F.col(c).cast("double") for c in cols]), cols, "variable", "value")
     qs = quantiles_wide(stacked, "value", SUMMARY_PROBS, SUMMARY_NAMES, by=["variable"],
                         method=method, accuracy=accuracy, group_bound=len(cols))
-    return moments.join(qs, "variable", "left").select(
+    return combine_by_key([moments, qs], ["variable"]).select(
         "variable", "n", "mean", "median", "stddev", "min", "p25", "p75", "p95", "max")
 
 
