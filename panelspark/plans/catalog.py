@@ -828,6 +828,28 @@ def q_errors_by_group(spark, sf_dir):
                                                   ["l_returnflag", "l_linestatus"]))
 
 
+def _holdout_err_sql(col: str) -> str:
+    return (f"SELECT '{col}' AS grouping, {col} AS group_value, count(*) AS n, CAST(0.0 AS DOUBLE) AS mae, "
+            f"CAST(0.0 AS DOUBLE) AS mean_error, CAST(0.0 AS DOUBLE) AS rmse FROM lineitem "
+            f"WHERE year(l_shipdate) = {S.HOLDOUT_YEAR} GROUP BY {col}")
+
+
+@query("holdout_errors_by_group", sql=_holdout_err_sql("l_returnflag") + " UNION ALL "
+       + _holdout_err_sql("l_linestatus"))
+def q_holdout_errors_by_group(spark, sf_dir):
+    """Errors of the frozen forest pipeline on the held-out year, by group.
+    On the step fixture with every feature tried at each split the forest is
+    exact, so every error is 0 and the oracle is the row count per group."""
+    dev, hold = _dev_holdout(spark, sf_dir)
+    train, _ = regress.split_frames(dev.withColumn("z", S.step_target()), KEY3, 80, S.SPLIT_SALT)
+    model = regress.fit_pipeline(regress.forest_pipeline(STEP_SPEC, num_trees=20, max_depth=5, subset="all"),
+                                 train, STEP_SPEC, KEY3)
+    scored = regress.score(model, hold.withColumn("z", S.step_target()), "prediction")
+    out = diagnose.errors_by_group(scored, "z", ["l_returnflag", "l_linestatus"])
+    # + 0.0 turns a rounded -0.0 into 0.0.
+    return out.withColumns({c: r4(c) + F.lit(0.0) for c in ("mae", "mean_error", "rmse")})
+
+
 def _band_sql() -> str:
     e = f"(l_extendedprice - {S.PRED_A_SQL})"
     labels_ = diagnose.BAND_LABELS
