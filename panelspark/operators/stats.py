@@ -146,12 +146,15 @@ def seeded_sample(df: DataFrame, n: int, key: Sequence[str], salt: str = "42",
     A hash order instead of ``orderBy(rand(seed))``: the same rows for any
     partitioning and in any engine.  ``orderBy().limit(n)`` plans as
     ``TakeOrderedAndProject``: every task keeps its best ``n`` and only
-    ``n x tasks`` rows meet in the final merge.  The full key breaks ties.
+    ``n x tasks`` rows meet in the final merge.  The key, then the other
+    output columns, break ties, so even rows sharing a key are chosen
+    deterministically (rows equal in every output column are interchangeable).
     """
     key = list(key)
     cols = list(columns) if columns is not None else df.columns
     ordered = df.withColumn("_h", F.md5(hash_text(key, salt)))
-    return ordered.orderBy("_h", *key).limit(n).select(*cols)
+    ties = key + [c for c in cols if c not in key]
+    return ordered.orderBy("_h", *ties).limit(n).select(*cols)
 
 
 def group_mode(df: DataFrame, by: Sequence[str], column: str, out_col: str | None = None) -> DataFrame:

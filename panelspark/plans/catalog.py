@@ -431,13 +431,14 @@ def q_category_frequency(spark, sf_dir):
                                     ["l_returnflag_label", "priority_code_label", "period"])
 
 
-def _sample_sql(n: int, cols: str) -> str:
+def _sample_sql(n: int, cols: str, extra_order: str) -> str:
     keys = ", ".join(f"CAST({c} AS VARCHAR)" for c in S.SAMPLE_KEY)
     return (f"SELECT {cols} FROM lineitem ORDER BY md5(concat_ws('|', {keys}, '42')), "
-            f"{', '.join(S.SAMPLE_KEY)} LIMIT {n}")
+            f"{', '.join(S.SAMPLE_KEY)}, {extra_order} LIMIT {n}")
 
 
-@query("seeded_sample", sql=_sample_sql(10000, "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice"))
+@query("seeded_sample", sql=_sample_sql(10000, "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice",
+                                        "l_extendedprice"))
 def q_seeded_sample(spark, sf_dir):
     li = S.table(spark, sf_dir, "lineitem")
     return stats.seeded_sample(li, 10000, S.SAMPLE_KEY, columns=S.SAMPLE_KEY + ["l_extendedprice"])
@@ -869,7 +870,7 @@ def q_errors_by_quantile_band(spark, sf_dir):
 
 @query("paired_prediction_sample", sql=_sample_sql(
     5000, f"l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS actual, "
-          f"{S.PRED_A_SQL} AS pred_a, {S.PRED_B_SQL} AS pred_b"))
+          f"{S.PRED_A_SQL} AS pred_a, {S.PRED_B_SQL} AS pred_b", "actual, pred_a, pred_b"))
 def q_paired_prediction_sample(spark, sf_dir):
     scored = _rule_scored(spark, sf_dir).select(
         *S.SAMPLE_KEY, F.col("l_extendedprice").alias("actual"),
