@@ -68,7 +68,15 @@ def fit_input(df: DataFrame, keys: Sequence[str], columns: Sequence[str] | None
     """
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     cols = list(dict.fromkeys([*keys, *columns])) if columns is not None else df.columns
-    return df.select(*cols).repartition(n, *keys).sortWithinPartitions(*keys)
+    narrow = df.select(*cols)
+    # Keys first, then every other orderable column, so rows that share a
+    # key still come in a fixed order (vectors and collections cannot be
+    # ordered and are left out).
+    orderable = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType,
+                 T.TimestampNTZType)
+    ties = [f.name for f in narrow.schema.fields
+            if f.name not in keys and isinstance(f.dataType, orderable)]
+    return narrow.repartition(n, *keys).sortWithinPartitions(*keys, *ties)
 
 
 def scaler_pipeline(columns: Sequence[str], raw_col: str = "features_raw",

@@ -122,3 +122,13 @@ def test_task_memory_budget(spark):
     assert regress._memory_mb("1024") == 1024
     budget = regress.task_memory_mb(spark)
     assert 16 <= budget <= 256
+
+
+def test_fits_do_not_depend_on_input_layout(spark, lines):
+    # Q16: with fit_input the sweep sees the same rows in the same partitions
+    # and order whatever the input partitioning was.
+    key = ["l_orderkey", "l_linenumber", "l_partkey"]
+    scaler = segment.scaler_pipeline(["l_quantity", "l_tax"]).fit(lines)
+    a, _ = segment.kmeans_sweep(scaler.transform(lines), "features", ks=(2, 3), keys=key)
+    b, _ = segment.kmeans_sweep(scaler.transform(lines.repartition(5)), "features", ks=(2, 3), keys=key)
+    assert sorted(a.collect()) == sorted(b.collect())
