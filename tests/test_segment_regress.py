@@ -131,4 +131,9 @@ def test_fits_do_not_depend_on_input_layout(spark, lines):
     scaler = segment.scaler_pipeline(["l_quantity", "l_tax"]).fit(lines)
     a, _ = segment.kmeans_sweep(scaler.transform(lines), "features", ks=(2, 3), keys=key)
     b, _ = segment.kmeans_sweep(scaler.transform(lines.repartition(5)), "features", ks=(2, 3), keys=key)
-    assert sorted(a.collect()) == sorted(b.collect())
+    ra, rb = sorted(a.collect()), sorted(b.collect())
+    # Same clusters (silhouette identical); WSSSE is summed over partitions
+    # in task-completion order, so only its last bits may differ.
+    assert [(r["k"], r["silhouette"], r["chosen"]) for r in ra] == \
+        [(r["k"], r["silhouette"], r["chosen"]) for r in rb]
+    assert all(x["wssse"] == pytest.approx(y["wssse"], rel=1e-12) for x, y in zip(ra, rb))
