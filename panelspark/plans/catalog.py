@@ -133,6 +133,37 @@ def q_stream_ingest_periods(spark, sf_dir):
                                           F.col("year").cast("int"))
 
 
+CSV_MAP = {"order_key": "l_orderkey", "line_number": "l_linenumber", "quantity": "l_quantity",
+           "price": "l_extendedprice", "flag": "l_returnflag"}
+
+
+@query("csv_scan_periods", sql=(
+    f"SELECT CAST(l_orderkey AS VARCHAR) AS order_key, CAST(l_linenumber AS VARCHAR) AS line_number, "
+    f"l_quantity AS quantity, l_extendedprice AS price, l_returnflag AS flag, "
+    f"CASE WHEN year(l_shipdate) < {S.HOLDOUT_YEAR} THEN 'development' ELSE 'holdout' END AS period, "
+    f"CASE WHEN year(l_shipdate) < {S.HOLDOUT_YEAR} THEN 'lineitem_development.csv' "
+    f"ELSE 'lineitem_holdout.csv' END AS source_file "
+    f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL})"))
+def q_csv_scan_periods(spark, sf_dir):
+    """Period files as the reference receives them: delimited text with a
+    header, columns in a different order per file.  Each lands as CSV in the
+    shared folder, is scanned by header name (never by position), typed
+    (text -> double with ``try_cast``; codes trimmed) and stacked by name."""
+    landing = shared_dir(spark, "csv-landing", unique=True)
+    li = S.table(spark, sf_dir, "lineitem")
+    dev = S.year_range(li, S.YEARS[0], S.HOLDOUT_YEAR - 1)
+    hold = S.year_slice(li, S.HOLDOUT_YEAR)
+    cols = list(CSV_MAP.values())
+    files = [M.PeriodFile("development", 0, 0, "lineitem_development.csv"),
+             M.PeriodFile("holdout", S.HOLDOUT_YEAR, 0, "lineitem_holdout.csv")]
+    for frame, f, order in ((dev, files[0], cols), (hold, files[1], cols[::-1])):
+        (frame.select(*order).write.mode("overwrite").option("header", "true").option("escape", '"')
+         .csv(f"{landing}/{f.file_name}"))
+    data = scan.scan_periods(spark, landing, files, CSV_MAP, fmt="csv")
+    typed = harmonise(data, measures=["quantity", "price"], codes=["order_key", "line_number", "flag"])
+    return typed.select(*CSV_MAP, "period", "source_file")
+
+
 @query("manifest_row_audit", sql=(
     f"WITH l AS (SELECT CAST(year(l_shipdate) AS VARCHAR) AS period, count(*) AS n "
     f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL}) GROUP BY 1) "

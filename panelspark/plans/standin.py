@@ -178,14 +178,19 @@ def period_files(expected: dict[int, int] | None = None) -> list[PeriodFile]:
     return [PeriodFile(str(y), y, 0, f"lineitem_{y}", expected.get(y)) for y in YEARS]
 
 
-def year_slice(df: DataFrame, year: int) -> DataFrame:
-    """Rows shipped in ``year`` as a range predicate on the raw timestamp, so
-    it reaches the Parquet scan (row groups outside the year are skipped)."""
-    lo = F.make_timestamp_ntz(F.lit(year), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
-    hi = F.make_timestamp_ntz(F.lit(year + 1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+def year_range(df: DataFrame, first: int, last: int) -> DataFrame:
+    """Rows shipped in years ``first..last`` as a range predicate on the raw
+    timestamp, so it reaches the Parquet scan (row groups outside the range
+    are skipped)."""
+    lo = F.make_timestamp_ntz(F.lit(first), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    hi = F.make_timestamp_ntz(F.lit(last + 1), F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     return df.where((F.col("l_shipdate") >= lo) & (F.col("l_shipdate") < hi))
 
 
+def year_slice(df: DataFrame, year: int) -> DataFrame:
+    return year_range(df, year, year)
+
+
 def period_frames(spark: SparkSession, sf_dir: str, columns: list[str]) -> dict[str, DataFrame]:
     """One frame per yearly "file"; each year lists the columns in another
     order (rotated), as period files do."""
