@@ -72,3 +72,22 @@ def test_target_table_is_broadcast_with_bound(spark):
     df = spark.range(1000).selectExpr("CAST(id % 3 AS STRING) AS g", "CAST(id AS DOUBLE) AS x")
     plan = plan_text(exact_quantiles(df, "x", [0.5], ["g"], group_bound=3))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2]),
+                          st.one_of(st.none(), st.integers(-20, 20))), min_size=1, max_size=50))
+def test_exact_property_two_keys_default_slices(spark, data):
+    rows = [(g, h, None if x is None else float(x)) for g, h, x in data]
+    df = spark.createDataFrame(rows, "g string, h int, x double")
+    probs = [0.1, 0.5, 0.9]
+    got = {(r["g"], r["h"], r["prob"]): r["quantile"]
+           for r in exact_quantiles(df, "x", probs, ["g", "h"]).collect()}
+    groups = {}
+    for g, h, x in rows:
+        if x is not None:
+            groups.setdefault((g, h), []).append(x)
+    assert len(got) == len(groups) * len(probs)
+    for (g, h), xs in groups.items():
+        for p in probs:
+            assert got[(g, h, p)] == brute(xs, p)
