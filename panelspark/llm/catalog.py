@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontam, urls
+from panelspark.llm import bpe, decontam, quality, toxicity, urls
 from panelspark.llm.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,6 +39,22 @@ URL_RULES = [
 ]
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=~toxicity.held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, model, columns=("doc_id", "text"))
+    return scored.select(
+        F.col("row.doc_id").alias("doc_id"), toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.scan(docs, quality.train(docs, table(spark, sf_dir, "labels")), columns=("doc_id", "text"))
+    return judged.select(F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "kept", "probability")
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -105,7 +121,7 @@ FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op6_url_filters, op9_benchmark_decontamination, op10_bpe_roundtrip)}
+        op3_toxicity, op6_url_filters, op7_quality_rules, op9_benchmark_decontamination, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
