@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontam, quality, toxicity, urls
+from panelspark.llm import bpe, decontam, pii, quality, toxicity, urls
 from panelspark.llm.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -48,6 +48,15 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.scan(docs, pii.train(pii.labelled_by_patterns(docs)), columns=("doc_id", "text"))
+    listed = F.when(F.col("base") == "", F.array().cast("array<string>")).otherwise(F.split("base", ","))
+    of = lambda kind: F.size(F.filter(listed, lambda s: F.startswith(s, F.lit(f"{kind}:")))).cast("long").alias(f"n_{kind}")
+    return found.select(F.col("row.doc_id").alias("doc_id"), *[of(kind) for kind in pii.KINDS],
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     judged = quality.scan(docs, quality.train(docs, table(spark, sf_dir, "labels")), columns=("doc_id", "text"))
@@ -121,7 +130,7 @@ FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_toxicity, op6_url_filters, op7_quality_rules, op9_benchmark_decontamination, op10_bpe_roundtrip)}
+        op3_toxicity, op5_personal_data, op6_url_filters, op7_quality_rules, op9_benchmark_decontamination, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
