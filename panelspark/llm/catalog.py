@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontam, pii, quality, toxicity, urls
+from panelspark.llm import bpe, decontam, jaccard, pii, quality, toxicity, urls
 from panelspark.llm.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -39,6 +39,10 @@ URL_RULES = [
 ]
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=~toxicity.held_out(F.col("doc_id")))
@@ -128,10 +132,30 @@ FROM doc LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
 
+_SPACE_WORDS_SQL = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
+
+OP1_SQL = f"""
+WITH RECURSIVE doc AS (
+    SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, {_SPACE_WORDS_SQL.format(_LOWER_SQL.format("coalesce(text, '')"))} AS w FROM documents
+),
+shingle AS (
+    SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+),
+size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.r != b.r GROUP BY ALL),
+link AS (SELECT a, b FROM common c JOIN size x ON c.a = x.r JOIN size y ON c.b = y.r WHERE 10 * c.n >= 8 * (x.n + y.n - c.n)),
+reach(a, b) AS (SELECT r, r FROM doc UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+head AS (SELECT a AS r, min(doc_id) AS class_id FROM reach JOIN doc ON reach.b = doc.r GROUP BY a),
+degree AS (SELECT a AS r, count(*) AS n_links FROM link GROUP BY a)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM doc JOIN head USING (r) LEFT JOIN degree USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_toxicity, op5_personal_data, op6_url_filters, op7_quality_rules, op9_benchmark_decontamination, op10_bpe_roundtrip)}
+        op1_ngram_jaccard_join, op3_toxicity, op5_personal_data, op6_url_filters, op7_quality_rules, op9_benchmark_decontamination, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL}

@@ -423,3 +423,28 @@ def redact(text: str | None, spans: str) -> str | None:
             out += [text[at:a], f"[{kind.upper()}]"]
         at = b
     return "".join([*out, text[at:]])
+
+
+def _mask_mapper(shared, names: list[str]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for row, text in K.row_chunks(batches):
+            spans = [as_text(every) for _, every in find(text, model)]
+            masked = [redact(t, s) for t, s in zip(text.to_pylist(), spans)]
+            columns = []
+            for k, name in enumerate(names):
+                column = row.field(k)
+                if name == "text":
+                    column = pa.array(masked, column.type)
+                elif name == "n_chars":
+                    column = pa.array([len(m) if s else n for m, s, n in zip(masked, spans, column.to_pylist())], column.type)
+                columns.append(column)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+    return run
+
+
+def masked(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` with every span replaced; ``n_chars``, if there is
+    such a column, is counted anew where a text has changed."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return K.as_rows(docs).mapInArrow(_mask_mapper(shared, docs.columns), docs.schema)
