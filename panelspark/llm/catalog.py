@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, decontam, jaccard, pii, quality, toxicity, urls
+from panelspark.llm import bpe, bwt, decontam, jaccard, lm, pii, quality, substrings, toxicity, urls
 from panelspark.llm.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +43,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt.dedup(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), learn=~toxicity.held_out(F.col("doc_id")))
@@ -52,6 +56,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target corpus is the documents labelled as good quality."""
+    docs = table(spark, sf_dir, "documents")
+    scored = lm.score(docs, lm.train(docs, table(spark, sf_dir, "labels").where("quality = 1")), ("doc_id", "text"))
+    return scored.select(F.col("row.doc_id").alias("doc_id"), "n_tokens", "target_loss", "background_loss", "score")
+
+
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.scan(docs, pii.train(pii.labelled_by_patterns(docs)), columns=("doc_id", "text"))
@@ -72,6 +83,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"), keep_text=False)
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), columns=("doc_id", "text"))
     return found.select(
@@ -152,10 +167,48 @@ SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links FROM doc JOIN head USIN
 """
 
 
+OP2_SQL = """
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+place AS (SELECT r, doc_id, substr(h, 2 * i - 1, 100) AS s, i FROM (
+    SELECT r, doc_id, h, unnest(range(1, length(h) // 2 - 48)) AS i FROM doc WHERE length(h) >= 100)),
+low AS (SELECT s, min(doc_id) AS low FROM place GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT p.r, p.i FROM place p JOIN low USING (s) WHERE low.low < p.doc_id),
+marked AS (SELECT r, i, max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM gone),
+led AS (SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS g FROM marked),
+span AS (SELECT r, g, min(i) AS a, max(i) + 50 AS b FROM led GROUP BY r, g),
+cut AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS from_, row_number() OVER (PARTITION BY r ORDER BY a DESC) AS back FROM span),
+kept AS (
+    SELECT c.r, sum(b - a) AS n_removed, count(*) AS n_spans,
+           string_agg(substr(h, 2 * from_ - 1, 2 * (a - from_)), '' ORDER BY a) || any_value(CASE WHEN back = 1 THEN substr(h, 2 * b - 1) END) AS left_
+    FROM cut c JOIN doc USING (r) GROUP BY c.r
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(left_, h))) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""
+
+OP8_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_SPACE_WORDS_SQL.format("coalesce(text, '')")} AS w FROM documents),
+place AS (SELECT r, i, md5(array_to_string(w[i:i + 34], ' ')) AS s FROM (
+    SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM doc WHERE len(w) >= 35)),
+again AS (SELECT s FROM place GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS k FROM place JOIN again USING (s)),
+word AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS k FROM doc),
+left_ AS (
+    SELECT word.r, count(gone.k) AS n_removed, string_agg(CASE WHEN gone.k IS NULL THEN x END, ' ' ORDER BY word.k) AS s
+    FROM word LEFT JOIN gone ON word.r = gone.r AND word.k = gone.k GROUP BY word.r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(s, '')) AS kept_sha256
+FROM doc LEFT JOIN left_ USING (r)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_ngram_jaccard_join, op3_toxicity, op5_personal_data, op6_url_filters, op7_quality_rules, op9_benchmark_decontamination, op10_bpe_roundtrip)}
+        op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_toxicity, op4_lm_scoring, op5_personal_data, op6_url_filters,
+        op7_quality_rules, op8_substring_dedup, op9_benchmark_decontamination, op10_bpe_roundtrip)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_ngram_jaccard_join": OP1_SQL, "op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL}
+    return {"op1_ngram_jaccard_join": OP1_SQL, "op2_suffix_array_dedup": OP2_SQL, "op8_substring_dedup": OP8_SQL,
+            "op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL}
