@@ -44,7 +44,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bwt.dedup(table(spark, sf_dir, "documents"), keep_text=False)
+    return bwt.dedup(table(spark, sf_dir, "documents")).drop("spans", "kept")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +84,7 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.dedup(table(spark, sf_dir, "documents"), keep_text=False)
+    return substrings.dedup(table(spark, sf_dir, "documents")).drop("spans", "kept")
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

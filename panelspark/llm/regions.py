@@ -9,14 +9,13 @@ offsets.  The steps:
    once cannot belong to a repeated window.  The rest goes into a bit table of
    fixed size (``FILTER_BITS``), which is broadcast.  Its false positives cost
    work and change no result, however full it is.
-2. ``occurrences``: for every anchor in the table, the *region* that its windows
-   cover.  Equal regions are one class; their text is kept once a slice.
+2. For every anchor in the table, the *region* that its windows cover.  Equal
+   regions are one class; a slice sends each class once, counted.
 3. The operator gets all classes of one bucket of anchors, and says which runs
    of units of each class are to go.  Equal windows share their anchor, so they
    meet in one bucket.
-4. ``removed_runs``: runs are carried back to the documents.
-
-Whole texts that are equal are collapsed before (``collapse``).
+4. Runs are carried back to the rows (told by doc_id and a hash of the text, so
+   that only equal rows share a name).
 """
 
 from __future__ import annotations
@@ -83,12 +82,10 @@ def anchors_of(units: Units, plan: Plan) -> tuple[np.ndarray, np.ndarray, np.nda
     return window, at, gram[at]
 
 
-def collapse(docs: DataFrame) -> DataFrame:
-    """``digest, text, did, copies``: each whole text once, with the smallest
-    doc_id (rows without one come last) and the number of its rows."""
-    texts = docs.select(docs["doc_id"], F.coalesce(docs["text"], F.lit("")).alias("text"))
-    return texts.groupBy(F.md5("text").alias("digest")).agg(
-        F.first("text").alias("text"), F.min("doc_id").alias("did"), F.count(F.lit(1)).alias("copies"))
+def named(docs: DataFrame) -> DataFrame:
+    """``doc_id, mark, text`` of every row: the row's name and its whole text."""
+    text = F.coalesce(docs["text"], F.lit(""))
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
 def _count_mapper(plan: Plan):
@@ -100,23 +97,26 @@ def _count_mapper(plan: Plan):
                 first = np.ones(len(at), bool)
                 first[1:] = at[1:] != at[:-1]
                 at, anchor = at[first], anchor[first]
-                did = part.column("did").to_numpy()[units.row[at]]
-                copies = part.column("copies").to_numpy()[units.row[at]]
+                # ``across``: the documents' ids; else places, which no two occurrences share
+                who = part.column("did").to_numpy()[units.row[at]] if plan.across else at
                 order = np.argsort(anchor, kind="stable")
-                anchor, did, copies = anchor[order], did[order], copies[order]
+                anchor, who = anchor[order], who[order]
                 cut = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]])) if len(anchor) else np.zeros(0, np.int64)
                 if len(cut):
+                    low, high = np.minimum.reduceat(who, cut), np.maximum.reduceat(who, cut)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(anchor[cut].view(np.int64)), pa.array(np.minimum.reduceat(did, cut)),
-                         pa.array(np.maximum.reduceat(did, cut)), pa.array(np.add.reduceat(copies, cut))], names=["anchor", "low", "high", "n"])
+                        [pa.array(anchor[cut].view(np.int64)), pa.array(low if plan.across else np.zeros_like(low)),
+                         pa.array(high if plan.across else (low != high).astype(np.int64))], names=["anchor", "low", "high"])
     return run
 
 
 def shared_anchors(texts: DataFrame, plan: Plan) -> np.ndarray:
     """The bit table of anchors that stand more than once (``across``: in several documents)."""
-    counted = texts.select("did", "copies", "text").mapInArrow(_count_mapper(plan), "anchor long, low long, high long, n long")
-    counted = counted.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-    shared = counted.where("low != high" if plan.across else "n > 1")
+    counted = texts.select("did", "text").mapInArrow(_count_mapper(plan), "anchor long, low long, high long")
+    if plan.across:
+        shared = counted.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low != high")
+    else:  # in two slices, or twice in one
+        shared = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("high").alias("high")).where("n > 1 OR high > 0")
     bit = F.col("anchor").bitwiseAND((1 << FILTER_BITS) - 1)
     words = shared.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, int(anchor & 63))").alias("mask")) \
         .groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
@@ -146,7 +146,13 @@ def _region_mapper(shared, plan: Plan):
                 same = K.mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64), 6)
                 offset = (at[lead] - begin).astype(np.uint64)
                 same = K.mix(same + offset, 8)
-                _, once = np.unique(np.stack([anchor[lead], same]), axis=1, return_index=True)
+                row = units.row[begin]
+                did = part.column("did").to_numpy()[row]
+                order = np.lexsort((did, same, anchor[lead]))
+                a, c = anchor[lead][order], same[order]
+                group = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])]))
+                once, times = order[group], np.zeros(len(lead), np.int64)  # of each class, an occurrence with the least id
+                times[once] = np.diff(np.append(group, len(order)))
                 texts: list[bytes | None] = [None] * len(lead)
                 for k in once.tolist():
                     a, b = int(begin[k]), int(end[k])
@@ -154,40 +160,48 @@ def _region_mapper(shared, plan: Plan):
                         texts[k] = b" ".join(units.buf[x:y].tobytes() for x, y in zip(units.start[a:b].tolist(), units.end[a:b].tolist()))
                     else:
                         texts[k] = units.buf[a:b].tobytes()
-                row = units.row[begin]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[lead].view(np.int64)), pa.array(same.view(np.int64)), part.column("digest").take(pa.array(row)),
-                     part.column("did").take(pa.array(row)), part.column("copies").take(pa.array(row)),
-                     pa.array((begin - units.first[row]).astype(np.int64)), pa.array(texts, pa.binary())],
-                    names=["anchor", "region", "digest", "did", "copies", "start", "words"])
+                    [pa.array(anchor[lead].view(np.int64)), pa.array(same.view(np.int64)), pa.array(did),
+                     part.column("mark").take(pa.array(row)), pa.array((begin - units.first[row]).astype(np.int64)),
+                     pa.array(times), pa.array(texts, pa.binary())],
+                    names=["anchor", "region", "did", "mark", "start", "n", "words"])
     return run
 
 
-def removed_runs(texts: DataFrame, plan: Plan, judge: Callable[[pa.Table], pa.Table]) -> DataFrame:
-    """``digest, runs`` (start, end, ... in units, not merged) of the texts that lose
-    units.  ``judge`` gets ``anchor, region, words, did, n`` of one bucket's
-    classes and returns ``anchor, region, a, b, low``: runs [a, b) of a class that
-    go where ``low`` is less than the document's id (null: everywhere)."""
-    spark = texts.sparkSession
-    texts = texts.withColumn("did", F.coalesce("did", F.lit(0)))  # without ``across`` the id is not looked at
+def removed_runs(rows: DataFrame, plan: Plan, judge: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """``doc_id, mark, runs`` (start, end, ... in units, not merged) of the rows of
+    ``named`` that lose units.  ``judge`` gets ``anchor, region, words, did, n`` of
+    one bucket's classes and returns ``anchor, region, a, b, low``: runs [a, b) of
+    a class that go where ``low`` is less than the document's id (null: everywhere)."""
+    spark = rows.sparkSession
+    texts = rows.withColumn("did", F.coalesce("doc_id", F.lit(0)))  # without ``across`` the id is not looked at
+    if plan.across:
+        texts = texts.where("doc_id IS NOT NULL")
     shared = spark.sparkContext.broadcast(shared_anchors(texts, plan))
-    found = written(texts.select("digest", "did", "copies", "text").mapInArrow(
+    found = written(texts.select("did", "mark", "text").mapInArrow(
         _region_mapper(shared, plan),
-        "anchor long, region long, digest string, did long, copies long, start long, words binary"), "regions")
-    classes = found.groupBy("anchor", "region").agg(
-        F.first("words", ignorenulls=True).alias("words"), F.min("did").alias("did"), F.sum("copies").alias("n"))
-    total = found.agg(F.sum(F.length("words"))).first()[0] or 0
+        "anchor long, region long, did long, mark long, start long, n long, words binary"), "regions")
+    slices = found.where("words IS NOT NULL").select("anchor", "region", "did", "n", "words")
+    total = slices.agg(F.sum(F.length("words"))).first()[0] or 0
     buckets = max(1, -(-total // plan.bucket_bytes))
-    judged = classes.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))) \
-        .groupBy("bucket").applyInArrow(judge, "anchor long, region long, a array<int>, b array<int>, low array<long>")
-    runs = found.select("anchor", "region", "digest", "did", "start").join(judged, ["anchor", "region"]) \
-        .select("digest", "did", "start", F.explode(F.arrays_zip("a", "b", "low")).alias("run"))
+    # dealt once, by bucket; the classes of a bucket are united where they lie
+    classes = slices.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).repartition("bucket") \
+        .groupBy("bucket", "anchor", "region").agg(F.first("words").alias("words"), F.min("did").alias("did"), F.sum("n").alias("n"))
+    judged = classes.groupBy("bucket").applyInArrow(judge, "anchor long, region long, a array<int>, b array<int>, low array<long>")
+    runs = found.select("anchor", "region", "did", "mark", "start").join(judged, ["anchor", "region"]) \
+        .select("did", "mark", "start", F.explode(F.arrays_zip("a", "b", "low")).alias("run"))
     if plan.across:
         runs = runs.where("run.low < did")
-    return runs.groupBy("digest").agg(F.flatten(F.collect_list(F.array(
+    return runs.groupBy("did", "mark").agg(F.flatten(F.collect_list(F.array(
         F.col("start") + F.col("run.a"), F.col("start") + F.col("run.b")))).alias("runs"))
 
 
+def with_runs(rows: DataFrame, runs: DataFrame, across: bool) -> DataFrame:
+    """``doc_id, text, runs`` of every row of ``named``."""
+    did = F.col("doc_id") if across else F.coalesce("doc_id", F.lit(0))
+    return rows.withColumn("did", did).join(runs, ["did", "mark"], "left").select("doc_id", "text", "runs")
+
+
 def merge_runs(runs: list[int] | None) -> list[int]:
     """Sorted, joined runs (start, end, ...)."""
     out: list[int] = []

@@ -12,8 +12,7 @@ through it, and every occurrence of a phrase marks its words.  A phrase is a
 recurring window itself, so nothing else is marked, and a run's own phrases
 cover all of it.
 
-Texts that are equal as a whole are collapsed before: with ``width`` words or
-more they lose everything.  Cases: null, empty and short texts lose nothing.
+Cases: null, empty and short texts lose nothing.
 Repeated rows are repeats like others; null doc_ids are documents like others.
 """
 
@@ -26,11 +25,9 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from panelspark.llm import regions as R
 from panelspark.llm import textkit as K
-from panelspark.llm.tables import written
 
 WIDTH = 35
 #: Bytes of region text in one bucket, about; its automaton has at most one node a byte.
@@ -87,37 +84,29 @@ def judge(width: int):
     return run
 
 
-def _cut_mapper(width: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, runs, copies = (batch.column(c).to_pylist() for c in ("text", "runs", "copies"))
-            strings = batch.column("text")
+def _cut_mapper(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in K.chunks(batch, "text"):
+            buf, off = K.text_bytes(part.column("text"))
+            start, end, row = K.word_spans(buf, off, K.NON_SPACE)
+            first = np.searchsorted(row, np.arange(part.num_rows + 1)).tolist()
             out = []
-            for k, text in enumerate(texts):
-                buf, off = K.text_bytes(strings.slice(k, 1))
-                start, end, _ = K.word_spans(buf, off, K.NON_SPACE)
-                n = len(start)
-                gone = [0, n] if copies[k] > 1 and n >= width else R.merge_runs(runs[k])
-                words = [buf[x:y].tobytes() for a, b in R.kept(n, gone) for x, y in zip(start[a:b].tolist(), end[a:b].tolist())]
+            for lo, hi, runs in zip(first[:-1], first[1:], part.column("runs").to_pylist()):
+                gone = R.merge_runs(runs)
+                words = [buf[x:y].tobytes() for a, b in R.kept(hi - lo, gone)
+                         for x, y in zip(start[lo + a:lo + b].tolist(), end[lo + a:lo + b].tolist())]
                 left = b" ".join(words)
-                out.append((n, n - len(words), gone, hashlib.sha256(left).hexdigest(), left.decode()))
-            n, removed, gone, sha, left = zip(*out) if out else ([],) * 5
+                out.append((hi - lo, hi - lo - len(words), gone, hashlib.sha256(left).hexdigest(), left.decode()))
+            n, removed, gone, sha, left = zip(*out)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("digest"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(gone, pa.list_(pa.int64())), pa.array(sha, pa.string()), pa.array(left, pa.string())],
-                names=["digest", "n_words", "n_removed", "spans", "kept_sha256", "kept"])
-    return run
+                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
+                 pa.array(sha, pa.string()), pa.array(gone, pa.list_(pa.int64())), pa.array(left, pa.string())],
+                names=["doc_id", "n_words", "n_removed", "kept_sha256", "spans", "kept"])
 
 
-def dedup(docs: DataFrame, width: int = WIDTH, keep_text: bool = True) -> DataFrame:
+def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every row, with ``spans``
-    (start, end, ... of removed words) and ``kept`` (the rest, joined by one
-    space) unless ``keep_text`` is off."""
-    texts = written(R.collapse(docs), "texts")
-    runs = R.removed_runs(texts, plan(width), judge(width))
-    cut = texts.select("digest", "text", "copies").join(runs, "digest", "left").mapInArrow(
-        _cut_mapper(width), "digest string, n_words long, n_removed long, spans array<long>, kept_sha256 string, kept string")
-    if not keep_text:
-        cut = cut.drop("spans", "kept")
-    rows = docs.select(docs["doc_id"], F.md5(F.coalesce(docs["text"], F.lit(""))).alias("digest"))
-    return rows.join(cut, "digest").drop("digest")
+    (start, end, ... of removed words) and ``kept`` (the rest, joined by one space)."""
+    rows = R.named(docs)
+    found = R.with_runs(rows, R.removed_runs(rows, plan(width), judge(width)), across=False)
+    return found.mapInArrow(_cut_mapper, "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<long>, kept string")

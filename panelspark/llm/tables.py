@@ -15,5 +15,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: later jobs neither
     recompute it nor depend on an executor that may be lost."""
     path = shared_dir(df.sparkSession, "llm", name, unique=True)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -111,7 +111,7 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     texts = passages(9, ["a", "bb", "é"], " ")
     want = brute_words(texts, 20)
     monkeypatch.setattr(regions, "shared_anchors", lambda texts, plan: np.full(1 << (regions.FILTER_BITS - 6), 2 ** 64 - 1, np.uint64))
-    for r in substrings.dedup(frame(spark, texts), 20, keep_text=False).collect():
+    for r in substrings.dedup(frame(spark, texts), 20).collect():
         assert (r["n_words"], r["n_removed"], r["kept_sha256"]) == want[r["doc_id"]]
 
 
