@@ -39,17 +39,13 @@ def is_finite(c: ColumnLike) -> Column:
     return F.coalesce(F.abs(col(c)) < F.lit(float("inf")), F.lit(False))
 
 
-def is_integer_between(c: ColumnLike, lo: int, hi: int, max_list: int = 1024) -> Column:
+def is_integer_between(c: ColumnLike, lo: int, hi: int) -> Column:
     """Finite, integer-valued and in ``[lo, hi]`` (false for NULL / NaN / inf).
 
-    For a short range this is ``c IN (lo.0, ..., hi.0)``: one reference to
-    ``c`` (an ``InSet`` lookup) instead of five, which matters when ``c`` is
-    a derived expression that Catalyst inlines into the filter.
+    NaN compares as the largest value, so the upper bound alone excludes it.
     """
     v = col(c)
-    if hi - lo + 1 <= max_list:
-        return F.coalesce(v.isin(*[float(i) for i in range(lo, hi + 1)]), F.lit(False))
-    return is_finite(v) & (v >= lo) & (v <= hi) & (v == F.floor(v))
+    return F.coalesce(v.between(lo, hi) & (v == F.floor(v)), F.lit(False))
 
 
 def blank_to_null(c: ColumnLike) -> Column:
@@ -88,11 +84,16 @@ def map_literal(mapping: Mapping[str, str]) -> Column:
 def labelled_code(c: ColumnLike, labels: Mapping[str, str],
                   unknown_code: str = UNKNOWN_CODE,
                   unknown_label: str = UNKNOWN_LABEL) -> tuple[Column, Column]:
-    """(code, label): codes outside ``labels`` (or NULL) become the unknown pair."""
-    v = col(c)
-    code = F.when(v.isin(list(labels)), v).otherwise(F.lit(unknown_code))
-    label = F.coalesce(map_literal(labels)[code], F.lit(unknown_label))
-    return code, label
+    """(code, label): codes outside ``labels`` (or NULL) become the unknown pair.
+
+    Both come from one dictionary lookup of a ``(code, label)`` struct."""
+    entries = [F.struct(F.lit(k).alias("code"), F.lit(text).alias("label")) for k, text in labels.items()]
+    unknown = F.struct(F.lit(unknown_code).alias("code"), F.lit(unknown_label).alias("label"))
+    if not entries:
+        return unknown["code"], unknown["label"]
+    dictionary = F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*entries))
+    found = F.coalesce(F.try_element_at(dictionary, col(c)), unknown)
+    return found["code"], found["label"]
 
 
 def fingerprint(columns: Iterable[ColumnLike], length_prefix: bool = True) -> Column:

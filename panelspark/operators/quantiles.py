@@ -72,7 +72,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
     )
     in_group = Window.partitionBy(*by) if by else Window.partitionBy()
     running = in_group.orderBy("_lo").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rank = F.greatest(F.lit(1), F.ceil(F.col("_p") * F.col("_n")))
+    # In decimals: 0.07 * 100 is 7, not the 7.000000000000001 of doubles.
+    rank = F.greatest(F.lit(1), F.ceil(F.col("_p").cast("decimal(17,15)") * F.col("_n")).cast("long"))
     targets = (
         slice_stats
         .withColumn("_end", F.sum("_cnt").over(running))

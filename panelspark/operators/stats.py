@@ -105,27 +105,25 @@ def histogram(df: DataFrame, value: str, bins: int = 60, log10: bool = False) ->
 def correlation_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair: ``var_x, var_y, r``.
 
-    One global aggregate of pairwise sums; r is NULL when either column has
-    zero variance (guarded division instead of an ANSI divide-by-zero).
+    One global aggregate; every moment of a pair is over the rows where both
+    are present.  r is NULL when either column has zero variance there
+    (guarded division instead of an ANSI divide-by-zero).
     """
     cols = list(columns)
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, a in enumerate(cols):
-        aggs.append(F.stddev_samp(a).alias(f"_s{i}"))
-    pairs = []
+    aggs = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if j < i:
                 continue
-            aggs.append(F.covar_samp(a, b).alias(f"_c{i}_{j}"))
-            pairs.append((i, j))
+            x, y = (F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(c)) for c in (a, b))
+            aggs += [F.covar_samp(a, b).alias(f"_c{i}_{j}"), (F.stddev_samp(x) * F.stddev_samp(y)).alias(f"_s{i}_{j}")]
     moments = df.agg(*aggs)
     rows = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             lo_, hi_ = min(i, j), max(i, j)
-            r = F.try_divide(F.col(f"_c{lo_}_{hi_}"), F.col(f"_s{i}") * F.col(f"_s{j}"))
-            r = F.when(F.col(f"_s{i}") * F.col(f"_s{j}") == 0, F.lit(None)).otherwise(r)
+            spread = F.col(f"_s{lo_}_{hi_}")
+            r = F.when(spread != 0, F.try_divide(F.col(f"_c{lo_}_{hi_}"), spread))
             rows.append(F.struct(F.lit(a).alias("var_x"), F.lit(b).alias("var_y"),
                                  r.cast("double").alias("r")))
     return moments.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")

@@ -184,21 +184,6 @@ def q_manifest_row_audit(spark, sf_dir):
     return audit_df.select("period", "file_name", "expected_rows", "rows", "ok", "columns")
 
 
-TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-               "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-
-
-@query("manifest_missing_files")
-def q_manifest_missing_files(spark, sf_dir):
-    """Expected files of the landing folder against its listing; the stand-in
-    manifest also names a period file that was never delivered."""
-    files = [M.PeriodFile(str(i), 0, 0, f"{t}.parquet") for i, t in enumerate(TABLE_NAMES)]
-    files.append(M.PeriodFile("late", S.HOLDOUT_YEAR + 1, 1, f"lineitem_{S.HOLDOUT_YEAR + 1}.parquet"))
-    man = M.manifest_frame(spark, files)
-    listing = M.file_listing(spark, f"{sf_dir.rstrip('/')}/*.parquet")
-    return M.missing_files(man, listing).select("file_name", "period")
-
-
 @query("parquet_roundtrip", sql="SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
        "o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
 def q_parquet_roundtrip(spark, sf_dir):
@@ -682,7 +667,7 @@ def q_one_hot_encode(spark, sf_dir):
     spec = regress.FeatureSpec(numeric=(), categorical=("l_returnflag",))
     model = Pipeline(stages=regress.categorical_stages(spec)).fit(li)
     size = len(model.stages[0].labelsArray[0])
-    arr = vector_to_array(F.col("l_returnflag_ohe"))
+    arr = vector_to_array(F.col("slots_of_l_returnflag"))
     return model.transform(li).select("l_orderkey", "l_linenumber", "l_returnflag",
                                       *[arr[i].alias(f"ohe_{i}") for i in range(size)])
 

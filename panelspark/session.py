@@ -9,6 +9,7 @@ unset (local runs, tests) does it create one and register it.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,9 @@ def _checkpoint_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    # Unset: local run or test.  A cluster always names a shared folder.
+    # Unset: only a local run or a test may use a folder of this machine.
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all nodes share")
     local = tempfile.mkdtemp(prefix="panelspark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local

@@ -1,5 +1,6 @@
 from tests.conftest import plan_text
 import math
+from decimal import Decimal
 import random
 
 import pytest
@@ -13,7 +14,7 @@ PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]
 
 def brute(values, p):
     xs = sorted(values)
-    return xs[max(1, math.ceil(p * len(xs))) - 1]
+    return xs[max(1, math.ceil(Decimal(str(p)) * len(xs))) - 1]
 
 
 def check(spark, rows, by, probs=PROBS, slices=None):
