@@ -114,7 +114,8 @@ def _most_frequent(counted: DataFrame, limit: int) -> DataFrame:
 def train(docs: DataFrame, target: DataFrame, max_words: int = MAX_WORDS, max_bigrams: int = MAX_BIGRAMS) -> Model:
     """Models of ``docs`` (the background) and of those whose doc_id is in ``target``."""
     wanted = target.select(F.col("doc_id").alias("wanted")).where("wanted IS NOT NULL").distinct()
-    flagged = docs.select(docs["doc_id"], docs["text"]).join(wanted, F.col("doc_id") == F.col("wanted"), "left") \
+    # One kind of join at every size: the target grows with the corpus, so it is never broadcast.
+    flagged = docs.select(docs["doc_id"], docs["text"]).join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left") \
         .select("text", F.col("wanted").isNotNull().alias("target"))
     schema = "key long, n long, target long"
 
