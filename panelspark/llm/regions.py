@@ -125,6 +125,19 @@ def shared_anchors(texts: DataFrame, plan: Plan) -> np.ndarray:
     return table
 
 
+def in_table(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Which anchors are in the bit table of shared ones."""
+    bit = anchor & np.uint64((1 << FILTER_BITS) - 1)
+    return (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+
+
+def run_hash(value: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of the units of each run; runs may overlap."""
+    power, inverse = K._power(len(value))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(K.mix(value, seed) * power)])
+    return K.mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64), seed + 1)
+
+
 def _region_mapper(shared, plan: Plan):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
@@ -132,8 +145,7 @@ def _region_mapper(shared, plan: Plan):
             for part in K.chunks(batch, "text", K.CHUNK_BYTES // 2):
                 units = units_of(part.column("text"), plan)
                 window, at, anchor = anchors_of(units, plan)
-                bit = anchor & np.uint64((1 << FILTER_BITS) - 1)
-                keep = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+                keep = in_table(bits, anchor)
                 window, at, anchor = window[keep], at[keep], anchor[keep]
                 if not len(window):
                     continue
@@ -141,9 +153,7 @@ def _region_mapper(shared, plan: Plan):
                 lead = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (np.diff(window) != 1)]))
                 last = np.append(lead[1:], len(at)) - 1
                 begin, end = window[lead], window[last] + plan.width
-                power, inverse = K._power(len(units.value))
-                sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(K.mix(units.value, 5) * power)])
-                same = K.mix((sums[end] - sums[begin]) * inverse[begin] + (end - begin).astype(np.uint64), 6)
+                same = run_hash(units.value, begin, end, 5)
                 offset = (at[lead] - begin).astype(np.uint64)
                 same = K.mix(same + offset, 8)
                 row = units.row[begin]

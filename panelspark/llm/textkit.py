@@ -57,8 +57,8 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All bytes of a text column and the n + 1 offsets of its rows (null: empty)."""
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    """All bytes of a text or binary column and the n + 1 offsets of its rows (null: empty)."""
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     if len(column) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
