@@ -118,10 +118,22 @@ def shared_anchors(texts: DataFrame, plan: Plan) -> np.ndarray:
     else:  # in two slices, or twice in one
         shared = counted.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.max("high").alias("high")).where("n > 1 OR high > 0")
     bit = F.col("anchor").bitwiseAND((1 << FILTER_BITS) - 1)
-    words = shared.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, int(anchor & 63))").alias("mask")) \
-        .groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    return bit_table(shared.select(F.shiftright(bit, 6).alias("word"), F.expr("shiftleft(1L, int(anchor & 63))").alias("mask")))
+
+
+def bits_of(keys: np.ndarray) -> dict[str, pa.Array]:
+    """Word and mask in the bit table of each distinct word that ``keys`` set."""
+    bit = np.unique(keys & np.uint64((1 << FILTER_BITS) - 1))
+    word, first = np.unique(bit >> np.uint64(6), return_index=True)
+    mask = np.bitwise_or.reduceat(np.uint64(1) << (bit & np.uint64(63)), first) if len(bit) else bit
+    return {"word": pa.array(word.astype(np.int64)), "mask": pa.array(mask.view(np.int64))}
+
+
+def bit_table(bits: DataFrame) -> np.ndarray:
+    """The table (at most 2 ** (FILTER_BITS - 6) words) of ``word, mask`` rows."""
+    words = bits.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
     table = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    table[words["word"].to_numpy(np.int64)] = words["mask"].to_numpy(np.int64).view(np.uint64)
+    table[words.column("word").to_numpy()] = words.column("mask").to_numpy().view(np.uint64)
     return table
 
 
