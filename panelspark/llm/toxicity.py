@@ -74,7 +74,7 @@ def _feature_mapper(bits: int):
 
 
 def ftrl(examples: list[tuple[np.ndarray, int]], bits: int, alpha: float = 0.1, beta: float = 1.0,
-         l1: float = 3.0, l2: float = 1.0, epochs: int = 5) -> tuple[np.ndarray, np.ndarray]:
+         l1: float = 3.0, l2: float = 1.0, epochs: int = 3) -> tuple[np.ndarray, np.ndarray]:
     """FTRL-proximal weights (non-zero places and values); the last place is the bias."""
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
