@@ -5,20 +5,23 @@ vocabulary, one set of bigrams and one smoothing; a document's score is the mean
 over its words of the target's loss minus the background's (nats; the lower, the
 more target-like).
 
-All counts are taken over all documents.  The vocabulary holds the most frequent
-words, at most ``max_words``; others are one unknown word.  Of the bigrams the
-most frequent are kept, at most ``max_bigrams``; others back off to unigrams, in
-both models.  Both limits are sizes of the model (and bounds of what is
-broadcast): the least count that keeps within the limit is read off a histogram
-of the counts, so all words (bigrams) of one count class share their fate.
+All counts are taken over all documents, and all words and bigrams are kept: both
+tables grow with the corpus and stay in Spark.  Only a bounded *head* of them, the
+most frequent ones, is broadcast.  A document's bigrams in the head are scored where
+its text is read; its others are counted in the document, joined to the table's
+losses and summed.  What is in the head changes the cost and no score.  A caller may
+bound the model by ``max_words`` (others are one unknown word) and ``max_bigrams``
+(others back off to unigrams, in both models).  For heads and bounds alike the least
+count within the limit is read off a histogram of the counts, so all words (bigrams)
+of one count class share their fate.
 
 P(b | a) = LAMBDA * c(a b) / c(a) + (1 - LAMBDA) * P(b), and
 P(b) = (c(b) + 1) / (N + size of the vocabulary + 1); an unseen context leaves P(b).
 
-Words are runs of letters, digits and bytes beyond ASCII, A-Z lower-cased; the
-first word's context is the start of the text.  Cases: a text without words has
-n_tokens 0 and losses 0.  Without target rows the target model is uniform.
-Repeated rows count, and are scored, row by row.
+Words are runs of letters, digits and bytes beyond ASCII, A-Z lower-cased, told by
+a hash of 64 bits; the first word's context is the start of the text.  Cases: a text
+without words has n_tokens 0 and losses 0.  Without target rows the target model is
+uniform.  Repeated rows count, and are scored, row by row.
 """
 
 from __future__ import annotations
@@ -28,152 +31,270 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm import textkit as K
 from panelspark.llm.tables import written
 
-MAX_WORDS = 1 << 16
-MAX_BIGRAMS = 1 << 19
+#: What is broadcast, at most.
+HEAD_WORDS = 1 << 16
+HEAD_BIGRAMS = 1 << 20
 LAMBDA = 0.7
 #: Count classes a factor of two.
 _CLASSES = 8
+#: Stand for the start of a text and for a word that ``max_words`` left out.
+_START, _UNKNOWN = np.uint64(0), np.uint64(1)
+
+
+@dataclass
+class Table:
+    """Rows in Spark, counted when asked."""
+    rows: DataFrame
+
+    def __len__(self) -> int:
+        return self.rows.count()
 
 
 @dataclass
 class Vocabulary:
-    """Sorted word hashes; word k has id k + 1, unknown 0, the start of a text ``len + 1``."""
-    words: np.ndarray
-    counts: np.ndarray  # background and target by id
+    words: Table                # ``key, n, target``: words that are kept
+    counts: DataFrame           # the same, and the start of a text and the unknown word
+    head: DataFrame             # the most frequent of ``counts``
+    only: np.ndarray | None     # sorted hashes of the words of a bounded model
+    total: tuple[int, int]      # words in the background and in the target
+    size: int
+
+    def chance(self, n: Column, target: Column) -> tuple[Column, Column]:
+        return tuple((c + 1) / F.lit(float(total + self.size + 1)) for c, total in zip((n, target), self.total))
 
-    @property
-    def size(self) -> int:
-        return len(self.words) + 2
 
-    def code(self, word: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.zeros(len(word), np.int64)
-        at = np.minimum(np.searchsorted(self.words, word), len(self.words) - 1)
-        return np.where(self.words[at] == word, at + 1, 0)
+@dataclass
+class Head:
+    """Losses of the most frequent bigrams, sorted by ``pair``."""
+    pair: np.ndarray
+    before: np.ndarray
+    word: np.ndarray
+    loss: np.ndarray  # background and target of each
 
 
 @dataclass
 class Model:
+    docs: DataFrame         # what it was trained on
     vocabulary: Vocabulary
-    bigrams: np.ndarray  # sorted context * size + word
-    counts: np.ndarray   # background and target of each
+    bigrams: Table          # ``a, b, n, target``: bigrams that are kept
+    pairs: DataFrame        # all bigrams; counts of those that are not kept are 0
+    head: Head
 
 
-def _words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _words(text: pa.Array, only: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     buf, off = K.text_bytes(text)
     buf = K.lower(buf)
     start, end, row = K.word_spans(buf, off, K.ALNUM)
-    return row, K.span_hash(buf, start, end)
+    word = K.span_hash(buf, start, end)
+    return row, word if only is None else np.where(np.isin(word, only), word, _UNKNOWN)
+
+
+def _first(row: np.ndarray) -> np.ndarray:
+    first = np.ones(len(row), bool)
+    first[1:] = row[1:] != row[:-1]
+    return first
+
+
+def _before(row: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return np.where(_first(row), _START, np.roll(word, 1))
+
+
+def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return K.mix(K.mix(before, 3) + word, 4)
 
 
-def _bigrams(row: np.ndarray, code: np.ndarray, size: int) -> np.ndarray:
-    before = np.roll(code, 1)
-    if len(code):
-        before[np.concatenate([[True], row[1:] != row[:-1]])] = size - 1
-    return before * size + code
+def _changes(*sorted_: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.zeros(len(sorted_[0]), bool)
+    new[:1] = True
+    for x in sorted_:
+        new[1:] |= x[1:] != x[:-1]
+    return np.flatnonzero(new)
 
 
-def _counted(key: np.ndarray, target: np.ndarray) -> pa.RecordBatch:
-    found, at, n = np.unique(key, return_inverse=True, return_counts=True)
-    wanted = np.bincount(at, weights=target, minlength=len(found)).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(wanted)],
-                                      names=["key", "n", "target"])
+def _long(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64) if x.dtype == np.uint64 else x.astype(np.int64))
 
 
-def _count_mapper(shared):
-    """Counts of words (no vocabulary yet) or of bigrams in each slice."""
+def _counted(keys: list[np.ndarray], target: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+    keys, target = [k[order] for k in keys], target[order].astype(np.int64)
+    at = _changes(*keys)
+    n = np.diff(np.append(at, len(order)))
+    wanted = np.add.reduceat(target, at) if len(at) else target
+    return pa.RecordBatch.from_arrays([*(_long(k[at]) for k in keys), _long(n), _long(wanted)], names=[*names, "n", "target"])
+
+
+def _count_mapper(only, pairs: bool):
+    """Counts of words, the start of a text among them, or of bigrams in each slice."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value if shared is not None else None
+        known = only.value if only is not None else None
         for batch in batches:
             for part in K.chunks(batch, "text", 2 * K.CHUNK_BYTES):
-                row, word = _words(part.column("text"))
-                target = part.column("target").to_numpy(zero_copy_only=False).astype(np.float64)[row]
-                yield _counted(word if vocabulary is None else _bigrams(row, vocabulary.code(word), vocabulary.size), target)
+                row, word = _words(part.column("text"), known)
+                target = part.column("target").to_numpy(zero_copy_only=False)[row]
+                if pairs:
+                    yield _counted([_before(row, word), word], target, ["a", "b"])
+                else:
+                    first = _first(row)
+                    yield _counted([np.concatenate([word, np.full(first.sum(), _START)])], np.concatenate([target, target[first]]), ["key"])
     return run
 
 
-def _most_frequent(counted: DataFrame, limit: int) -> DataFrame:
-    """Rows whose count class is high enough that at most ``limit`` are left."""
-    kind = F.floor(F.log2("n") * _CLASSES).cast("int")
-    histogram = counted.groupBy(kind.alias("kind")).count().orderBy(F.desc("kind")).collect()  # a few hundred rows
+def _kind() -> Column:
+    return F.floor(F.log2("n") * _CLASSES).cast("int")
+
+
+def _frequent(counted: DataFrame, limit: int | None) -> Column:
+    """Whether a row's count class is high enough that at most ``limit`` are left (None: all are)."""
+    if limit is None:
+        return F.lit(True)
+    histogram = counted.groupBy(_kind().alias("kind")).count().orderBy(F.desc("kind")).collect()  # a few hundred rows
     total, least = 0, None
     for r in histogram:
         total += r["count"]
         if total > limit:
             break
         least = r["kind"]
-    return counted.where(F.lit(False)) if least is None else counted.where(kind >= least)
+    return F.lit(False) if least is None else _kind() >= least
 
 
-def train(docs: DataFrame, target: DataFrame, max_words: int = MAX_WORDS, max_bigrams: int = MAX_BIGRAMS) -> Model:
+def train(docs: DataFrame, target: DataFrame, max_words: int | None = None, max_bigrams: int | None = None,
+          head_words: int = HEAD_WORDS, head_bigrams: int = HEAD_BIGRAMS) -> Model:
     """Models of ``docs`` (the background) and of those whose doc_id is in ``target``."""
+    spark = docs.sparkSession
     wanted = target.select(F.col("doc_id").alias("wanted")).where("wanted IS NOT NULL").distinct()
     # One kind of join at every size: the target grows with the corpus, so it is never broadcast.
     flagged = docs.select(docs["doc_id"], docs["text"]).join(wanted.hint("merge"), F.col("doc_id") == F.col("wanted"), "left") \
         .select("text", F.col("wanted").isNotNull().alias("target"))
-    schema = "key long, n long, target long"
-
-    def counted(shared, name):
-        rows = flagged.mapInArrow(_count_mapper(shared), schema)
-        return written(rows.groupBy("key").agg(F.sum("n").alias("n"), F.sum("target").alias("target")), name)
+    sums = F.sum("n").alias("n"), F.sum("target").alias("target")
+
+    counts = written(flagged.mapInArrow(_count_mapper(None, False), "key long, n long, target long").groupBy("key").agg(*sums), "words")
+    start, unknown = (F.lit(int(x)).cast("long") for x in (_START, _UNKNOWN))
+    words = counts.where(F.col("key") != start)
+    every = words.agg(*sums).first()
+    only = None
+    if max_words is not None:
+        kept = _frequent(words, max_words)
+        words = words.where(kept)
+        only = np.sort(words.select("key").toPandas()["key"].to_numpy(np.int64).view(np.uint64))
+        counts = counts.withColumn("key", F.when(kept | (F.col("key") == start), F.col("key")).otherwise(unknown)).groupBy("key").agg(*sums)
+    vocabulary = Vocabulary(Table(words), counts, counts.where(_frequent(counts, head_words) | (F.col("key") == start)),
+                            only, tuple(x or 0 for x in every), words.count())
+
+    shared = spark.sparkContext.broadcast(only) if only is not None else None
+    pairs = written(flagged.mapInArrow(_count_mapper(shared, True), "a long, b long, n long, target long").groupBy("a", "b").agg(*sums), "bigrams")
+    kept = _frequent(pairs, max_bigrams)
+    bigrams, hot = pairs.where(kept), pairs.where(_frequent(pairs, head_bigrams))
+    if max_bigrams is not None:
+        drop = [F.when(kept, F.col(x)).otherwise(0).alias(x) for x in ("n", "target")]
+        pairs, hot = pairs.select("a", "b", *drop), hot.select("a", "b", *drop)
+    # The join goes where the head's rows are: a third of the head may have one context.
+    found = losses(hot, vocabulary).toPandas()
+    before, word = (found[x].to_numpy(np.int64).view(np.uint64) for x in ("a", "b"))
+    pair = _pair(before, word)
+    order = np.argsort(pair)
+    head = Head(pair[order], before[order], word[order], found[["background", "wanted"]].to_numpy(np.float64).reshape(-1, 2)[order])
+    return Model(docs, vocabulary, Table(bigrams), pairs, head)
+
+
+def losses(pairs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """``a, b, background, wanted``: the loss of b after a under the background and
+    the target model, for rows ``a, b, n, target``.
+
+    Counts of frequent words come from the broadcast head.  Only rows with another
+    word are dealt by words, and only by such, so no word gathers many rows."""
+    head = vocabulary.head
+    of = lambda x: F.broadcast(head.select(F.col("key").alias(f"k{x}"), F.col("n").alias(f"n{x}"), F.col("target").alias(f"t{x}")))
+    both = pairs.join(of("a"), F.col("a") == F.col("ka"), "left").join(of("b"), F.col("b") == F.col("kb"), "left").drop("ka", "kb")
+    rare_a, rare_b = F.col("na").isNull(), F.col("nb").isNull()
+    rest = both.where(rare_a | rare_b).withColumns({"ka": F.when(rare_a, F.col("a")).otherwise(F.col("b")),
+                                                    "kb": F.when(rare_b, F.col("b")).otherwise(F.col("a"))})
+    for x, rare in (("a", rare_a), ("b", rare_b)):
+        counts = vocabulary.counts.select(F.col("key").alias("key"), F.col("n").alias("more"), F.col("target").alias("wanted")).hint("merge")
+        rest = rest.join(counts, F.col(f"k{x}") == F.col("key"), "left").withColumns(
+            {f"n{x}": F.when(rare, F.coalesce("more", F.lit(0))).otherwise(F.col(f"n{x}")),
+             f"t{x}": F.when(rare, F.coalesce("wanted", F.lit(0))).otherwise(F.col(f"t{x}"))}).drop("key", "more", "wanted")
+    found = both.where(~rare_a & ~rare_b).unionByName(rest.drop("ka", "kb"))
+    out = []
+    for seen, context, chance, name in zip(("n", "target"), ("na", "ta"), vocabulary.chance(F.col("nb"), F.col("tb")), ("background", "wanted")):
+        p = F.when(F.col(context) > 0, LAMBDA * F.col(seen) / F.col(context) + (1 - LAMBDA) * chance).otherwise(chance)
+        out.append((-F.log(p)).alias(name))
+    return found.select("a", "b", *out)
+
+
+def _in_head(head: Head, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place in the head of each bigram, and whether it is there."""
+    if not len(head.pair):
+        return np.zeros(len(word), np.int64), np.zeros(len(word), bool)
+    at = np.minimum(np.searchsorted(head.pair, _pair(before, word)), len(head.pair) - 1)
+    return at, (head.before[at] == before) & (head.word[at] == word)
+
+
+def _head_mapper(shared):
+    """Of every row its words, its losses within the head, and how many bigrams are not in it."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, only = shared.value
+        for batch in batches:
+            whole = pa.RecordBatch.from_arrays([batch.column("row"), batch.column("name"), batch.column("row").field("text")], names=["row", "name", "text"])
+            for part in K.chunks(whole, "text", K.CHUNK_BYTES // 2):
+                r, word = _words(part.column("text"), only)
+                at, known = _in_head(head, _before(r, word), word)
+                loss = head.loss[at[known]]
+                count = lambda x, **a: np.bincount(x, minlength=part.num_rows, **a)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("row"), part.column("name"), _long(count(r)), _long(count(r[~known])),
+                     *(pa.array(count(r[known], weights=loss[:, k]).astype(np.float64)) for k in (0, 1))],
+                    names=["row", "name", "n_tokens", "n_rest", "background", "wanted"])
+    return run
 
-    words = counted(None, "words")
-    kept = _most_frequent(words, max_words).toPandas()
-    every = words.agg(F.sum("n"), F.sum("target")).first()
-    hashes = kept["key"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    known = kept[["n", "target"]].to_numpy(np.int64).reshape(-1, 2)[order]
-    unknown = np.array([x or 0 for x in every], np.int64) - known.sum(axis=0)
-    vocabulary = Vocabulary(hashes[order], np.concatenate([unknown[None, :], known, [[0, 0]]]))
 
-    spark = docs.sparkSession
-    pairs = counted(spark.sparkContext.broadcast(vocabulary), "bigrams")
-    first = pairs.where(F.floor(F.col("key") / vocabulary.size) == vocabulary.size - 1).agg(F.sum("n"), F.sum("target")).first()
-    vocabulary.counts[-1] = [x or 0 for x in first]  # texts that have a word: how often the start is a context
-    kept = _most_frequent(pairs, max_bigrams).toPandas()
-    keys = kept["key"].to_numpy(np.int64)
-    order = np.argsort(keys)
-    return Model(vocabulary, keys[order], kept[["n", "target"]].to_numpy(np.int64).reshape(-1, 2)[order])
-
-
-def losses(model: Model, row: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Loss of every word under the background and the target model."""
-    v = model.vocabulary
-    code = v.code(word)
-    pair = _bigrams(row, code, v.size)
-    seen = np.zeros((len(pair), 2), np.int64)
-    if len(model.bigrams):
-        at = np.minimum(np.searchsorted(model.bigrams, pair), len(model.bigrams) - 1)
-        seen = np.where((model.bigrams[at] == pair)[:, None], model.counts[at], 0)
-    single = v.counts[:-1].astype(np.float64)
-    chance = (single + 1) / (single.sum(axis=0) + v.size - 1)
-    context = v.counts[pair // v.size].astype(np.float64)
-    p = np.where(context > 0, LAMBDA * seen / np.maximum(context, 1) + (1 - LAMBDA) * chance[code], chance[code])
-    loss = -np.log(p)
-    return loss[:, 0], loss[:, 1]
-
-
-def _score_mapper(shared):
+def _rest_mapper(shared):
+    """The bigrams of every row that are not in the head, counted."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for row, text in K.row_chunks(batches, K.CHUNK_BYTES // 2):
-            r, word = _words(text)
-            n = np.bincount(r, minlength=len(row)).astype(np.int64)
-            background, target = (np.bincount(r, weights=x, minlength=len(row)) / np.maximum(n, 1) for x in losses(model, r, word))
-            yield pa.RecordBatch.from_arrays([row, *map(pa.array, (n, target, background, target - background))],
-                                             names=["row", "n_tokens", "target_loss", "background_loss", "score"])
+        head, only = shared.value
+        for batch in batches:
+            for part in K.chunks(batch, "text", K.CHUNK_BYTES // 2):
+                r, word = _words(part.column("text"), only)
+                before = _before(r, word)
+                rest = ~_in_head(head, before, word)[1]
+                r, before, word = r[rest], before[rest], word[rest]
+                order = np.lexsort((_pair(before, word), r))
+                r, before, word = r[order], before[order], word[order]
+                at = _changes(r, before, word)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("name").take(pa.array(r[at])), _long(before[at]), _long(word[at]),
+                     pa.array(np.diff(np.append(at, len(r))).astype(np.int32))], names=["name", "a", "b", "times"])
     return run
 
 
 def score(docs: DataFrame, model: Model, columns: tuple[str, ...] = ()) -> DataFrame:
     """``row`` (all columns of ``docs`` or ``columns``), ``n_tokens``, the mean
     ``target_loss`` and ``background_loss`` a word, and their difference ``score``."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.head, model.vocabulary.only))
     rows = K.as_rows(docs, *columns)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_score_mapper(shared), f"row {K.row_type(rows)}, n_tokens long, target_loss double, background_loss double, score double")
+    kind = K.row_type(rows)
+    # Rows of one name have one text, and so one score.
+    heads = rows.withColumn("name", F.xxhash64("row.doc_id", "row.text")).mapInArrow(
+        _head_mapper(shared), f"row {kind}, name long, n_tokens long, n_rest long, background double, wanted double")
+    rest = rows.select(F.xxhash64("row.doc_id", "row.text").alias("name"), F.col("row.text").alias("text")).mapInArrow(
+        _rest_mapper(shared), "name long, a long, b long, times int")
+    found = rest.join(losses(model.pairs, model.vocabulary).hint("merge"), ["a", "b"]).select("name", "times", "background", "wanted")
+    if not docs.sameSemantics(model.docs):  # else the table has every bigram
+        new = rest.join(model.pairs.select("a", "b").hint("merge"), ["a", "b"], "left_anti")
+        unseen = losses(new.select("a", "b").distinct().withColumns({"n": F.lit(0), "target": F.lit(0)}), model.vocabulary)
+        found = found.unionByName(new.join(unseen.hint("merge"), ["a", "b"]).select("name", "times", "background", "wanted"))
+    sums = found.groupBy("name").agg(F.sum("times").alias("n_found"), *[
+        F.sum(F.col("times") * F.col(x)).alias(f"{x}_rest") for x in ("background", "wanted")])
+    # Repeated rows add to one sum: each takes its share.
+    mean = lambda x: F.when(F.col("n_tokens") > 0, (F.col(x) + F.when(F.col("n_rest") > 0, F.col(f"{x}_rest") * (
+        F.col("n_rest") / F.col("n_found"))).otherwise(0.0)) / F.col("n_tokens")).otherwise(0.0)
+    return heads.join(sums.hint("merge"), "name", "left") \
+        .select("row", "n_tokens", mean("wanted").alias("target_loss"), mean("background").alias("background_loss")) \
+        .withColumn("score", F.col("target_loss") - F.col("background_loss"))
