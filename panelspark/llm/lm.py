@@ -39,7 +39,7 @@ from panelspark.llm.tables import written
 
 #: What is broadcast, at most.
 HEAD_WORDS = 1 << 16
-HEAD_BIGRAMS = 1 << 20
+HEAD_BIGRAMS = 1 << 18
 LAMBDA = 0.7
 #: Count classes a factor of two.
 _CLASSES = 8
@@ -195,7 +195,6 @@ def train(docs: DataFrame, target: DataFrame, max_words: int | None = None, max_
     if max_bigrams is not None:
         drop = [F.when(kept, F.col(x)).otherwise(0).alias(x) for x in ("n", "target")]
         pairs, hot = pairs.select("a", "b", *drop), hot.select("a", "b", *drop)
-    # The join goes where the head's rows are: a third of the head may have one context.
     found = losses(hot, vocabulary).toPandas()
     before, word = (found[x].to_numpy(np.int64).view(np.uint64) for x in ("a", "b"))
     pair = _pair(before, word)
