@@ -13,7 +13,10 @@ offsets.  The steps:
    regions are one class; a slice sends each class once, counted.
 3. The operator gets all classes of one bucket of anchors, and says which runs
    of units of each class are to go.  Equal windows share their anchor, so they
-   meet in one bucket.
+   meet in one bucket.  An anchor whose classes alone would fill a bucket is dealt
+   by windows instead: there each class is one window that stands more than once,
+   and windows go to any bucket.  So regions that differ only at their edges (the
+   ends of a passage that many documents share) do not gather in one task.
 4. Runs are carried back to the rows (told by doc_id and a hash of the text, so
    that only equal rows share a name).
 """
@@ -168,6 +171,73 @@ def _region_mapper(shared, plan: Plan):
     return run
 
 
+_JUDGED = "anchor long, region long, a array<int>, b array<int>, low array<long>"
+
+
+def _hot_anchors(slices: DataFrame, plan: Plan) -> DataFrame | None:
+    """Anchors whose distinct classes hold more than a bucket's bytes: at most one for each bucket."""
+    size = slices.select("anchor", "region", F.length("words").alias("size"))
+    perhaps = size.groupBy("anchor").agg(F.sum("size").alias("size")).where(F.col("size") > plan.bucket_bytes).select("anchor")
+    hot = written(size.join(perhaps, "anchor", "left_semi").groupBy("anchor", "region").agg(F.first("size").alias("size"))
+                  .groupBy("anchor").agg(F.sum("size").alias("size")).where(F.col("size") > plan.bucket_bytes).select("anchor"), "hot")
+    return None if hot.isEmpty() else hot
+
+
+def _class_units(words: pa.Array, plan: Plan) -> Units:
+    if plan.words:
+        return units_of(words.cast(pa.string()), plan)
+    words = words.cast(pa.large_binary())
+    _, offsets, data = words.buffers()
+    off = np.frombuffer(offsets, np.int64, len(words) + 1, words.offset * 8)
+    buf = np.frombuffer(data, np.uint8)[off[0]:off[-1]]
+    row = np.repeat(np.arange(len(words)), np.diff(off))
+    return Units(row, buf.astype(np.uint64), row, row, buf, off - off[0])
+
+
+def _window_mapper(plan: Plan):
+    """Every window of each class, and its place there."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.chunks(batch, "words", K.CHUNK_BYTES // 2):
+                units = _class_units(part.column("words"), plan)
+                at = np.flatnonzero(K.same_row(units.row, plan.width))
+                row = units.row[at]
+                of = [part.column(x).take(pa.array(row)) for x in ("anchor", "region", "did", "n")]
+                window = K.window_hash(units.value, plan.width)[at]
+                yield pa.RecordBatch.from_arrays([*of, pa.array(window.view(np.int64)), pa.array((at - units.first[row]).astype(np.int32))],
+                                                 names=["anchor", "region", "did", "n", "window", "at"])
+    return run
+
+
+def _text_mapper(plan: Plan):
+    """The units of the window that starts at ``at`` of each class."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, at in zip(batch.column("words").to_pylist(), batch.column("at").to_pylist()):
+                out.append(b" ".join(text.split(b" ")[at:at + plan.width]) if plan.words else text[at:at + plan.width])
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("anchor", "window", "did", "n")), pa.array(out, pa.binary())],
+                                             names=["anchor", "region", "did", "n", "words"])
+    return run
+
+
+def _judged_windows(slices: DataFrame, plan: Plan, judge: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """What ``judge`` says of these classes, got from their windows one by one."""
+    classes = written(slices.groupBy("anchor", "region").agg(F.first("words").alias("words"), F.min("did").alias("did"), F.sum("n").alias("n")), "classes")
+    windows = classes.mapInArrow(_window_mapper(plan), "anchor long, region long, did long, n long, window long, at int")
+    again = written(windows.groupBy("anchor", "window").agg(
+        F.min("did").alias("did"), F.sum("n").alias("n"), F.min(F.struct("region", "at")).alias("one")).where("n > 1"), "windows")
+    texts = again.select("anchor", "window", "did", "n", "one.region", "one.at").join(classes.select("anchor", "region", "words"), ["anchor", "region"]) \
+        .mapInArrow(_text_mapper(plan), "anchor long, region long, did long, n long, words binary")
+    buckets = max(1, -(-again.count() * plan.width * (6 if plan.words else 1) // plan.bucket_bytes))
+    dealt = texts.withColumn("bucket", F.pmod(F.xxhash64("anchor", "region"), F.lit(buckets)))
+    judged = dealt.groupBy("bucket").applyInArrow(judge, _JUDGED) \
+        .select("anchor", F.col("region").alias("window"), F.explode(F.arrays_zip("a", "b", "low")).alias("run"))
+    runs = windows.select("anchor", "region", "window", "at").join(judged, ["anchor", "window"]).groupBy("anchor", "region").agg(
+        F.collect_list(F.struct((F.col("at") + F.col("run.a")).alias("a"), (F.col("at") + F.col("run.b")).alias("b"), F.col("run.low").alias("low"))).alias("runs"))
+    return runs.select("anchor", "region", "runs.a", "runs.b", "runs.low")
+
+
 def removed_runs(rows: DataFrame, plan: Plan, judge: Callable[[pa.Table], pa.Table]) -> DataFrame:
     """``doc_id, mark, runs`` (start, end, ... in units, not merged) of the rows of
     ``named`` that lose units.  ``judge`` gets ``anchor, region, words, did, n`` of
@@ -182,12 +252,18 @@ def removed_runs(rows: DataFrame, plan: Plan, judge: Callable[[pa.Table], pa.Tab
         _region_mapper(shared, plan),
         "anchor long, region long, did long, mark long, start long, n long, words binary"), "regions")
     slices = found.where("words IS NOT NULL").select("anchor", "region", "did", "n", "words")
+    hot = _hot_anchors(slices, plan)
+    judged = None
+    if hot is not None:
+        judged = _judged_windows(slices.join(F.broadcast(hot), "anchor", "left_semi"), plan, judge)
+        slices = slices.join(F.broadcast(hot), "anchor", "left_anti")
     total = slices.agg(F.sum(F.length("words"))).first()[0] or 0
     buckets = max(1, -(-total // plan.bucket_bytes))
     # dealt once, by bucket; the classes of a bucket are united where they lie
     classes = slices.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets))).repartition("bucket") \
         .groupBy("bucket", "anchor", "region").agg(F.first("words").alias("words"), F.min("did").alias("did"), F.sum("n").alias("n"))
-    judged = classes.groupBy("bucket").applyInArrow(judge, "anchor long, region long, a array<int>, b array<int>, low array<long>")
+    others = classes.groupBy("bucket").applyInArrow(judge, _JUDGED)
+    judged = others if judged is None else others.unionByName(judged)
     runs = found.select("anchor", "region", "did", "mark", "start").join(judged, ["anchor", "region"]) \
         .select("did", "mark", "start", F.explode(F.arrays_zip("a", "b", "low")).alias("run"))
     if plan.across:
