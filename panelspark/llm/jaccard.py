@@ -1,12 +1,12 @@
-"""Operator 1: n-gram Jaccard join by a MinHash LSH forest.
+"""Operator 1: n-gram Jaccard join by MinHash with fixed banding.
 
 Documents are sets of word shingles (``width`` consecutive words, A-Z
 lower-cased; a text of fewer words is one shingle of all of them).  Equal sets
 are one *class* before anything else, so copies cost one member.  Each class has
-``trees`` MinHash labels of ``depth`` values, the paths of its tries.  Two
-classes are candidates when some trie holds them under one prefix; the prefix is
-shortened from the full depth until the recall at the threshold similarity,
-``1 - (1 - s ** k) ** trees``, reaches the target.
+``trees`` bands of MinHash values, each hashed to one number.  Two classes are
+candidates when some band of theirs is equal.  The band's length k is the longest
+up to ``depth`` whose recall at the threshold similarity, ``1 - (1 - s ** k) **
+trees``, reaches the target: a number from constants, not found by matching.
 
 Candidates are verified exactly: a family (connected candidates) is cut into
 blocks of bounded size, and every pair of its blocks is one group, in which the
