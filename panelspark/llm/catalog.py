@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, bwt, decontam, jaccard, lm, pii, quality, substrings, toxicity, urls
+from panelspark.llm import bpe, bwt, decontam, jaccard, lm, merkle, pii, quality, substrings, toxicity, urls
 from panelspark.llm.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,6 +98,11 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path, keep_ids=False)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, F.crc32(docs["doc_id"].cast("string")) % 5 == 0)
+
+
 _LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP6_SQL = r"""
@@ -203,12 +208,67 @@ FROM doc LEFT JOIN left_ USING (r)
 """
 
 
+def _op13_sql(source_levels: int = 6, top_levels: int = 4) -> str:
+    """Levels are unrolled: up to 16 ** 6 rows a source and 16 ** 4 sources."""
+    framed = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END"
+    line = " || ".join(framed(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = ("xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))), "
+           "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))")
+    parts = [f"""
+WITH doc AS (SELECT *, CAST(doc_id AS VARCHAR) AS s, coalesce('=' || source, '') AS tree FROM documents),
+leaf AS (
+    SELECT tree, doc_id, sha256({line} || {framed("text")}) AS digest,
+           CASE WHEN {crc} % 5 = 0 THEN sha256({line} || {framed(_LOWER_SQL.format("text"))}) ELSE sha256({line} || {framed("text")}) END AS touched
+    FROM doc
+)"""]
+
+    def tier(name: str, base: str, count: int) -> None:
+        parts.append(f"{name}0 AS ({base})")
+        for k in range(1, count + 1):
+            parts.append(f"""{name}{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS m FROM (
+    SELECT tree, rank // 16 AS rank, sha256(string_agg(digest, '' ORDER BY rank)) AS digest FROM {name}{k - 1} WHERE m > 1 GROUP BY ALL))""")
+        for k in range(count + 1):
+            run = "OVER (PARTITION BY tree, rank // 16 ORDER BY rank ROWS BETWEEN {} AND {})"
+            parts.append(f"""{name}{k}s AS (SELECT *, coalesce(string_agg(digest, '') {run.format("UNBOUNDED PRECEDING", "1 PRECEDING")}, '') AS l,
+    coalesce(string_agg(digest, '') {run.format("1 FOLLOWING", "UNBOUNDED FOLLOWING")}, '') AS r FROM {name}{k})""")
+        parts.append(f"{name}_root AS (" + " UNION ALL ".join(f"SELECT tree, digest FROM {name}{k} WHERE m = 1" for k in range(count + 1)) + ")")
+
+    tier("a", "SELECT tree, doc_id, touched, digest, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS rank, "
+         "count(*) OVER (PARTITION BY tree) AS m FROM leaf", source_levels)
+    tier("b", "SELECT '' AS tree, tree AS source, digest, row_number() OVER (ORDER BY tree) - 1 AS rank, count(*) OVER () AS m FROM a_root", top_levels)
+    joins, steps, proof = ["a0s"], [], []
+    for name, count in (("a", source_levels), ("b", top_levels)):
+        for k in range(count + 1):
+            at = f"{name}{k}s"
+            if (name, k) == ("b", 0):
+                joins.append("JOIN b0s ON b0s.source = a0s.tree")
+            elif k:
+                below = f"{name}{k - 1}s"
+                joins.append(f"LEFT JOIN {at} ON {at}.tree = {below}.tree AND {at}.rank = {below}.rank // 16 AND {below}.m > 1")
+            proof.append(f"CASE WHEN {at}.m > 1 THEN {at}.l || {at}.r ELSE '' END")
+            steps.append(at)
+    sql = ",\n".join(parts)
+    sql += ",\nwide AS (SELECT a0s.doc_id, a0s.digest AS leaf, a0s.touched AS f0, b0s.digest AS subroot, (SELECT digest FROM b_root) AS root, " + \
+        " || ".join(proof) + " AS proof, " + \
+        ", ".join(f"{at}.m > 1 AS c{k}, {at}.l AS l{k}, {at}.r AS r{k}" for k, at in enumerate(steps)) + \
+        "\nFROM " + "\n".join(joins) + ")"
+    for k in range(len(steps)):
+        sql += f",\nfold{k + 1} AS (SELECT *, CASE WHEN c{k} THEN sha256(l{k} || f{k} || r{k}) ELSE f{k} END AS f{k + 1} FROM {f'fold{k}' if k else 'wide'})"
+    last = len(steps)
+    return sql + f"\nSELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, f{last} AS folded_root, f{last} = root AS verified FROM fold{last}"
+
+
+OP13_SQL = _op13_sql()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_toxicity, op4_lm_scoring, op5_personal_data, op6_url_filters,
-        op7_quality_rules, op8_substring_dedup, op9_benchmark_decontamination, op10_bpe_roundtrip)}
+        op7_quality_rules, op8_substring_dedup, op9_benchmark_decontamination, op10_bpe_roundtrip,
+        op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard_join": OP1_SQL, "op2_suffix_array_dedup": OP2_SQL, "op8_substring_dedup": OP8_SQL,
-            "op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL}
+            "op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL,
+            "op13_merkle_manifest": OP13_SQL}
