@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, bwt, decontam, jaccard, lm, merkle, pii, quality, substrings, toxicity, urls
+from panelspark.llm import bpe, bwt, decontam, jaccard, lm, merkle, phrases, pii, quality, substrings, toxicity, urls
 from panelspark.llm.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,6 +98,10 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path, keep_ids=False)
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle.manifest(docs, F.crc32(docs["doc_id"].cast("string")) % 5 == 0)
@@ -208,6 +212,32 @@ FROM doc LEFT JOIN left_ USING (r)
 """
 
 
+OP12_SQL = r"""
+WITH doc AS (SELECT coalesce(lang, 'und') AS lang, """ + _LOWER_SQL.format("coalesce(text, '')") + r""" AS t FROM documents),
+piece AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+    SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM doc)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM piece GROUP BY lang),
+gram AS (SELECT lang, s, w[i:i + s - 1] AS g FROM (
+    SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS i FROM piece, (VALUES (1), (2), (3), (4)) AS size(s) WHERE len(w) >= s)),
+known AS (SELECT lang, s, array_to_string(g, ' ') AS phrase, g, count(*) AS a FROM gram GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT * FROM known WHERE s > 1),
+inner_ AS (
+    SELECT lang, array_to_string(g[i:i + m - 1], ' ') AS phrase, max(a) AS around FROM (
+        SELECT lang, g, a, m, unnest(range(1, s - m + 2)) AS i FROM cand, (VALUES (2), (3)) AS size(m) WHERE m < s)
+    GROUP BY ALL),
+left_ AS (SELECT c.* FROM cand c LEFT JOIN inner_ i USING (lang, phrase) WHERE i.around IS NULL OR 100 * i.around < 80 * c.a),
+cut AS (SELECT *, unnest(range(1, s)) AS k FROM left_),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, c.k,
+           CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.a + y.a) AS BIGINT) AS score
+    FROM cut c JOIN known x ON x.lang = c.lang AND x.phrase = array_to_string(c.g[1:c.k], ' ')
+    JOIN known y ON y.lang = c.lang AND y.phrase = array_to_string(c.g[c.k + 1:], ' ')),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
+
 def _op13_sql(source_levels: int = 6, top_levels: int = 4) -> str:
     """Levels are unrolled: up to 16 ** 6 rows a source and 16 ** 4 sources."""
     framed = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c} END"
@@ -265,10 +295,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_toxicity, op4_lm_scoring, op5_personal_data, op6_url_filters,
         op7_quality_rules, op8_substring_dedup, op9_benchmark_decontamination, op10_bpe_roundtrip,
-        op13_merkle_manifest)}
+        op12_phrase_collocations, op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard_join": OP1_SQL, "op2_suffix_array_dedup": OP2_SQL, "op8_substring_dedup": OP8_SQL,
             "op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL,
-            "op13_merkle_manifest": OP13_SQL}
+            "op12_phrase_collocations": OP12_SQL, "op13_merkle_manifest": OP13_SQL}

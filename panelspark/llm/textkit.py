@@ -7,6 +7,7 @@ of a multi-byte character is always part of a word.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,24 +109,31 @@ def mix(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h
 
 
+#: Bytes up to which a span is hashed by words of eight bytes; a longer one by BLAKE2.
+_SHORT = 64
+_KEY = b"panelspark span hash"
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
 def span_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each span's bytes; equal bytes have equal hashes anywhere.
 
-    A polynomial of the bytes modulo 2**64, from prefix sums: the work is linear
-    in the bytes, whatever the spans.  Spans are sorted and disjoint."""
-    out = np.empty(len(start), np.uint64)
-    at = 0
-    while at < len(start):
-        lo = int(start[at])
-        to = max(at + 1, int(np.searchsorted(end, lo + (1 << 19), "right")))
-        hi = int(end[to - 1])
-        power, inverse = _power(hi - lo + 1)
-        sums = np.zeros(hi - lo + 1, np.uint64)
-        np.cumsum((buf[lo:hi].astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
-        s, e = start[at:to] - lo, end[at:to] - lo
-        out[at:to] = (sums[e] - sums[s]) * inverse[s]
-        at = to
-    return mix(out)
+    Short spans take one bijective mix for every eight bytes (so spans of one size
+    up to eight bytes never collide), long ones a keyed BLAKE2: no sum or product
+    of bytes, which crafted spans could balance out."""
+    size = end - start
+    words = np.ndarray((len(buf) + 1,), "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]), 0, (1,))
+    out = mix(size.astype(np.uint64), 0x5EED)
+    live = np.flatnonzero(size <= _SHORT)
+    for j in range(0, _SHORT, 8):
+        live = live[size[live] > j] if j else live
+        if not len(live):
+            break
+        chunk = words[start[live] + j] & _KEEP[np.minimum(size[live] - j, 8)]
+        out[live] = mix(out[live] ^ chunk, 0x9E3779B97F4A7C15)
+    for k in np.flatnonzero(size > _SHORT).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(buf[start[k]:end[k]].tobytes(), digest_size=8, key=_KEY).digest(), "little")
+    return out
 
 
 def window_hash(items: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
