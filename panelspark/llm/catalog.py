@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import bpe, bwt, decontam, jaccard, lm, merkle, phrases, pii, quality, substrings, toxicity, urls
+from panelspark.llm import bpe, bwt, decontam, jaccard, lm, merkle, oddsketch, phrases, pii, quality, substrings, toxicity, urls
 from panelspark.llm.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,6 +98,10 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path, keep_ids=False)
 
 
+def op11_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.dedup(table(spark, sf_dir, "documents"))
+
+
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -212,6 +216,23 @@ FROM doc LEFT JOIN left_ USING (r)
 """
 
 
+OP11_SQL = f"""
+WITH RECURSIVE doc AS (
+    SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, {_SPACE_WORDS_SQL.format(_LOWER_SQL.format("coalesce(text, '')"))} AS w FROM documents
+),
+shingle AS (
+    SELECT DISTINCT r, array_to_string(w[i:i + 1], ' ') AS s
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 1, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+),
+size AS (SELECT r, count(*) AS n FROM shingle GROUP BY r),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.r != b.r GROUP BY ALL),
+link AS (SELECT a, b FROM common c JOIN size x ON c.a = x.r JOIN size y ON c.b = y.r WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+reach(a, b) AS (SELECT r, r FROM doc UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+head AS (SELECT a AS r, min(doc_id) AS component_id FROM reach JOIN doc ON reach.b = doc.r GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept
+FROM doc JOIN head USING (r) LEFT JOIN size USING (r)
+"""
+
 OP12_SQL = r"""
 WITH doc AS (SELECT coalesce(lang, 'und') AS lang, """ + _LOWER_SQL.format("coalesce(text, '')") + r""" AS t FROM documents),
 piece AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
@@ -295,10 +316,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_suffix_array_dedup, op3_toxicity, op4_lm_scoring, op5_personal_data, op6_url_filters,
         op7_quality_rules, op8_substring_dedup, op9_benchmark_decontamination, op10_bpe_roundtrip,
-        op12_phrase_collocations, op13_merkle_manifest)}
+        op11_odd_sketch_dedup, op12_phrase_collocations, op13_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard_join": OP1_SQL, "op2_suffix_array_dedup": OP2_SQL, "op8_substring_dedup": OP8_SQL,
             "op6_url_filters": OP6_SQL, "op9_benchmark_decontamination": OP9_SQL,
-            "op12_phrase_collocations": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
+            "op11_odd_sketch_dedup": OP11_SQL, "op12_phrase_collocations": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
