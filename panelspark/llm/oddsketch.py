@@ -2,24 +2,31 @@
 
 Documents are sets of ``width`` consecutive words (A-Z lower-cased; a text of
 fewer words is one shingle of all of them).  Equal word sequences are one *class*
-before anything else.  A class has ``BANDS`` bands of ``ROWS`` MinHash samples;
+before anything else.  A class has ``BANDS`` bands of ``ROWS`` MinHash values;
 classes are candidates when some band is equal (a pair at the threshold 0.8 is
-missed with a chance below 4e-7).  All samples of a class are also folded into a
-bitmap of ``BITS`` parities, its odd sketch: sample i flips the bit of (i, value).
-Samples that two classes share cancel out in the XOR of their sketches, so its
-population count grows with the samples that differ.  A candidate is verified
-only if the count is at most ``limit``, which a pair at the threshold passes but
-for a chance below ``MISS``, from the exact distribution of the count.
+missed with a chance below 4e-7).
+
+A class also has a MinHash sample of its set: all shingles whose hash lies under
+2 ** -level, the level being the smallest that leaves at most ``SAMPLE`` of the
+set's size (0, the whole set, for most texts).  The sample is folded into a bitmap
+of ``BITS`` parities, the odd sketch: each shingle flips the bit of its hash.
+Shared shingles cancel out in the XOR of two sketches, so its population count is
+at most the number of sampled shingles in which the sets differ, and close to it.
+Sets that reach the similarity s differ in at most (1 - s) / (1 + s) of their
+sizes' sum, so candidates whose count exceeds that are dropped: surely not linked
+at level 0; at higher levels the limit adds Bernstein's bound for a chance of
+``MISS``.  Candidates of different levels go on unfiltered.
 
 Verification is exact, on whole texts: words are told apart by their bytes, and
-the sets' intersection is counted.  It goes in two rounds, so that a large group
-of near copies costs work in proportion to its members, not to its pairs:
+the sets' intersection is counted.  It goes in rounds, so that a large group of
+near copies costs work in proportion to its members, not to its pairs:
 
 1. Every class against one class only, the smallest of a band that it shares.
-   Links found here merge most groups.
-2. In bands that still hold several components: every class outside the band's
-   largest component against the classes of other components.  Pairs inside a
-   component need no link of their own.
+2. Every class against the closest candidate, by sketch, of another component,
+   ``NEAREST`` times.
+3. All candidates that are still in different components.  In each band only the
+   classes outside its largest component ask; pairs inside a component need no
+   link of their own.
 
 Pairs are dealt to tasks by hash in bundles of bounded bytes; a class that many
 pairs name is salted over several bundles.
@@ -34,6 +41,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +56,9 @@ from panelspark.llm.tables import written
 
 #: Fixed values of the contract.
 WIDTH, PERCENT = 2, 80
-BANDS, ROWS, BITS, MISS = 28, 4, 256, 1e-7
+BANDS, ROWS, BITS, SAMPLE, MISS = 28, 4, 1024, 512, 1e-7
+#: Rounds of closest candidates.
+NEAREST = 2
 #: Bytes of text that one bundle of pairs holds, and pairs of one class before it is salted.
 BUNDLE_BYTES, SALT_PAIRS = 4 << 20, 512
 _rng = np.random.default_rng(11_2024)
@@ -57,25 +67,22 @@ _B = _rng.integers(0, 1 << 62, BANDS * ROWS, dtype=np.uint64)
 _SKETCH = [f"s{k}" for k in range(BITS // 64)]
 
 
-def limit(similarity: float = PERCENT / 100, samples: int = BANDS * ROWS, bits: int = BITS, miss: float = MISS) -> int:
-    """The smallest population count of the XOR of two sketches that a pair of
-    ``similarity`` exceeds with a chance of at most ``miss``.
+def most(differing, level, miss: float = MISS, sqrt=np.sqrt):
+    """The population count that sets which differ in ``differing`` shingles exceed with a
+    chance of at most ``miss``, if each is sampled with the chance 2 ** -level
+    (Bernstein).  Of numbers, or of columns with ``F.sqrt``."""
+    mean, odds = differing / 2 ** level, -float(np.log(miss)) / 3
+    return mean + odds + sqrt(odds * odds + 6 * odds * mean)
 
-    d of the samples differ, a binomial number; each flips two random bits, one of
-    either sketch; the odd bits among 2 d flips follow a walk on 0..bits."""
-    odd = np.zeros(bits + 1)
-    odd[0] = 1
-    places = np.arange(bits + 1)
-    chance = (similarity ** samples)
-    total = chance * odd
-    for d in range(1, samples + 1):
-        for _ in range(2):
-            up, down = odd * (bits - places) / bits, odd * places / bits
-            odd = np.concatenate([[0], up[:-1]]) + np.concatenate([down[1:], [0]])
-        chance *= (samples - d + 1) / d * (1 - similarity) / similarity
-        total += chance * odd
-    beyond = total.sum() - np.cumsum(total)
-    return int(np.flatnonzero(beyond <= miss)[0])
+
+def sketches(row: np.ndarray, hashed: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Level, and odd sketch as words of 64 bits, of each row's distinct shingles."""
+    level = np.ceil(np.log2(np.maximum(size, SAMPLE) / SAMPLE)).astype(np.int64)
+    hashed = K.mix(hashed, BITS)
+    taken = hashed >> np.uint64(11) < np.uint64(1) << (53 - level[row]).astype(np.uint64)
+    odd = np.zeros((len(size), BITS), np.uint8)
+    np.bitwise_xor.at(odd, (row[taken], (hashed[taken] % np.uint64(BITS)).astype(np.int64)), 1)
+    return level, np.packbits(odd, axis=1, bitorder="little").view(np.int64)
 
 
 def _sign_mapper(width: int):
@@ -92,24 +99,19 @@ def _sign_mapper(width: int):
                 for k in full.tolist():
                     keys[k] = hashlib.blake2b(b" ".join(buf[off[k]:off[k + 1]].tobytes().split()), digest_size=16).digest()
                 bands = np.zeros((len(full), BANDS), np.uint64)
-                odd = np.zeros((len(full), BITS), bool)
-                every = np.arange(len(full))
                 for band in range(BANDS if len(full) else 0):
                     label = np.full(len(full), band, np.uint64)
                     for p in range(band * ROWS, band * ROWS + ROWS):
                         least = np.minimum.reduceat((h * _A[p] + _B[p]) >> np.uint64(8), first)
                         label = K.mix(label ^ least, p)
-                        odd[every, (K.mix(least, BANDS * ROWS + p) % np.uint64(BITS)).astype(np.int64)] ^= True
                     bands[:, band] = label
-                sketch = np.zeros((n, BITS // 64), np.int64)
-                if len(full):
-                    sketch[full] = np.packbits(odd, axis=1, bitorder="little").view(np.int64)
+                level, sketch = sketches(r, h, size)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))]), pa.int32()),
                                                  pa.array(bands.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(size, pa.int64()), lists,
+                    [part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(size, pa.int64()), lists, pa.array(level),
                      *[pa.array(np.ascontiguousarray(sketch[:, k])) for k in range(BITS // 64)], text],
-                    names=["doc_id", "key", "size", "bands", *_SKETCH, "text"])
+                    names=["doc_id", "key", "size", "bands", "level", *_SKETCH, "text"])
     return run
 
 
@@ -118,7 +120,7 @@ def sign(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     set, ``bands``, the odd sketch and ``text`` of every row."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     sketch = ", ".join(f"{s} long" for s in _SKETCH)
-    return rows.mapInArrow(_sign_mapper(width), f"doc_id long, key binary, size long, bands array<long>, {sketch}, text string")
+    return rows.mapInArrow(_sign_mapper(width), f"doc_id long, key binary, size long, bands array<long>, level long, {sketch}, text string")
 
 
 def exact_sets(text: pa.Array, width: int) -> list[np.ndarray]:
@@ -178,55 +180,65 @@ def verified(pairs: DataFrame, members: DataFrame, width: int = WIDTH, percent:
     return written(found, "links")
 
 
-def _differ() -> F.Column:
-    """Population count of the XOR of the sketches ``su`` and ``sv``."""
-    counts = [F.bit_count(F.col(f"su.{s}").bitwiseXOR(F.col(f"sv.{s}"))) for s in _SKETCH]
-    total = counts[0]
-    for c in counts[1:]:
-        total = total + c
-    return total
+def _differ(a: str, b: str) -> F.Column:
+    """Population count of the XOR of two sketches."""
+    counts = [F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in _SKETCH]
+    return reduce(lambda x, y: x + y, counts)
+
+
+def _close(a: str, b: str, percent: int) -> F.Column:
+    """Whether sizes and sketches allow the similarity."""
+    (size, level), (other, same) = [(F.col(f"{x}.size"), F.col(f"{x}.level")) for x in (a, b)]
+    differing = F.floor((size + other) * (100 - percent) / (100 + percent))
+    count = F.when(level == 0, differing).otherwise(most(differing, level, sqrt=F.sqrt))
+    return (100 * F.least(size, other) >= percent * F.greatest(size, other)) & ((level != same) | (_differ(a, b) <= count))
+
+
+def crossing(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """``u, v, differ`` of every two classes that share a band, are close, and lie in
+    different ``groups`` (node, root); each pair once."""
+    groups = groups.select(F.col("node").alias("key"), "root")
+    placed = shared.join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    several = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("band")
+    placed = written(placed.join(several, "band"), "placed")
+    largest = placed.groupBy("band", "root").count().groupBy("band").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
+    asking = placed.join(largest, "band").where("root != main").select("band", F.col("key").alias("u"), F.col("root").alias("ru"), F.col("about").alias("au"), "main")
+    others = placed.select("band", F.col("key").alias("v"), F.col("root").alias("rv"), F.col("about").alias("av"))
+    # Two that both ask meet once.
+    met = asking.join(others, "band").where((F.col("ru") != F.col("rv")) & ((F.col("rv") == F.col("main")) | (F.col("u") < F.col("v"))) & _close("au", "av", percent))
+    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), _differ("au", "av").alias("differ")).distinct()
 
 
 def link(signed: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``key, component_id`` of every class that is linked with another; jobs run
-    while this is built."""
-    most = limit(percent / 100)
+    """``key, component_id`` of every class; jobs run while this is built."""
     # One row of each class: the first of any equal ones.
-    classes = written(signed.where("key IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("cid"), *[F.first(c).alias(c) for c in ("size", "bands", *_SKETCH, "text")]), "classes")
+    classes = written(signed.where("key IS NOT NULL").withColumn("about", F.struct("size", "level", *_SKETCH)).groupBy("key").agg(
+        F.min("doc_id").alias("cid"), *[F.first(c).alias(c) for c in ("bands", "about", "text")]), "classes")
     held = classes.select("key", F.explode("bands").alias("band"))
     least = held.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("band", "low")
     shared = written(held.join(least, "band"), "shared")
-    members = written(classes.select("key", "cid", F.struct(*_SKETCH).alias("sketch"), "text")
+    members = written(classes.select("key", "cid", "about", "text")
                       .join(shared.select("key").distinct(), "key"), "members")
-    sketches = members.select("key", "sketch")
-
-    def close(pairs: DataFrame) -> DataFrame:
-        """``pairs`` whose sketches allow the similarity, with the count."""
-        with_u = pairs.join(sketches.select(F.col("key").alias("u"), F.col("sketch").alias("su")), "u")
-        both = with_u.join(sketches.select(F.col("key").alias("v"), F.col("sketch").alias("sv")), "v")
-        return both.withColumn("differ", _differ()).where(F.col("differ") <= most).drop("su", "sv")
-
-    # Round 1: of the smallest classes of its bands, the closest one by 32s of the count, then the smallest.
-    first = close(shared.where("key != low").select(F.col("key").alias("v"), F.col("low").alias("u")).distinct()) \
-        .groupBy("v").agg(F.min(F.struct(F.shiftright("differ", 5).alias("step"), "u")).alias("best")).select("best.u", "v")
+    shared = written(shared.join(members.select("key", "about"), "key"), "shared")
+    # First, of the smallest classes of its bands, the closest one by 32s of the count, then the smallest.
+    low = members.select(F.col("key").alias("low"), F.col("about").alias("lead"))
+    first = shared.where("key != low").select("key", "low", "about").distinct().join(low, "low").where(_close("about", "lead", percent)) \
+        .groupBy("key").agg(F.min(F.struct(F.shiftright(_differ("about", "lead"), 5).alias("step"), "low")).alias("best")) \
+        .select(F.col("best.low").alias("u"), F.col("key").alias("v"))
     links = verified(first, members, width, percent)
-    # Round 2: bands that hold several components.
-    merged = written(components(links), "merged").withColumnRenamed("node", "key")
-    placed = shared.select("band", "key").join(merged, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    several = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("band")
-    placed = written(placed.join(several, "band"), "placed")
-    largest = placed.groupBy("band", "root").count().groupBy("band").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
-    asking = placed.join(largest, "band").where("root != main").select("band", F.col("key").alias("u"), F.col("root").alias("ru"), "main")
-    others = placed.select("band", F.col("key").alias("v"), F.col("root").alias("rv"))
-    # Two that both ask meet once.
-    crossed = asking.join(others, "band").where((F.col("ru") != F.col("rv")) & ((F.col("rv") == F.col("main")) | (F.col("u") < F.col("v"))))
-    more = verified(close(crossed.select("u", "v").distinct()), members, width, percent)
-    found = written(components(links.union(more)), "found")
+    # Then the closest class in another component, and at last all that are left.
+    for step in range(NEAREST + 1):
+        groups = written(components(links), "merged")
+        pairs = crossing(shared, groups, percent)
+        if step < NEAREST:
+            ends = pairs.select("u", "v", "differ").union(pairs.select("v", "u", "differ"))
+            pairs = ends.groupBy("u").agg(F.min(F.struct("differ", "v")).alias("best")).select("u", "best.v")
+        links = links.union(verified(pairs, members, width, percent))
+    found = written(components(links), "found")
     ids = found.join(members.select(F.col("key").alias("node"), "cid"), "node")
     heads = ids.groupBy("root").agg(F.min("cid").alias("component_id"))
-    return ids.join(heads, "root").select(F.col("node").alias("key"), "component_id").union(
-        classes.select("key", "cid").join(ids.select(F.col("node").alias("key")), "key", "left_anti"))
+    linked = ids.join(heads, "root").select(F.col("node").alias("key"), "component_id")
+    return linked.union(classes.select("key", "cid").join(linked.select("key"), "key", "left_anti"))
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

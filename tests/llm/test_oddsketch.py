@@ -42,6 +42,8 @@ def test_chains_and_large_groups(spark):
     texts = [" ".join(base[:k % 60] + [f"own{k}"] + base[k % 60 + 1:]) for k in range(150)]
     chain = [f"c{k}" for k in range(130)]
     texts += [" ".join(chain[4 * k:4 * k + 60]) for k in range(16)]
+    long = [f"l{rng.randrange(10 ** 6)}" for _ in range(2200)]
+    texts += [" ".join(long[40 * k:40 * k + 1100 + 9 * k]) for k in range(12)]
     want = brute(texts)
     assert len({r[2] for r in want}) < 6
     assert result(frame(spark, texts)) == want
@@ -60,16 +62,19 @@ def test_empty_table(spark):
     assert result(frame(spark, ["", None])) == [(0, 0, 0, True), (1, 0, 1, True)]
 
 
-def test_limit_is_the_tail_of_the_count():
-    """The formula against throws of random bits."""
+def test_counts_stay_under_the_limit():
+    """Sketches of sets of many sizes that differ by known numbers of shingles."""
     rng = np.random.default_rng(3)
-    samples, bits, miss = 40, 64, 0.02
-    most = oddsketch.limit(0.8, samples, bits, miss)
-    d = rng.binomial(samples, 0.2, 20_000)
-    counts = np.array([np.count_nonzero(np.bincount(rng.integers(0, bits, 2 * k), minlength=bits) % 2) for k in d])
-    assert (counts > most).mean() <= miss * 1.3
-    assert (counts > most - 4).mean() > miss
-    assert oddsketch.limit() < oddsketch.limit(0.5)
+    for size, gone, fresh in ((30, 3, 4), (500, 60, 40), (3000, 300, 300), (9000, 1800, 0)):
+        pool = rng.integers(0, 1 << 63, size + fresh, dtype=np.uint64)
+        sets_ = [np.sort(pool[:size]), np.sort(pool[gone:])]
+        row = np.repeat([0, 1], [len(s) for s in sets_])
+        level, sketch = oddsketch.sketches(row, np.concatenate(sets_), np.bincount(row))
+        assert level.tolist() == [max(0, int(np.ceil(np.log2(len(s) / 512)))) for s in sets_]
+        if level[0] == level[1]:
+            count = sum(bin(int(x) & (1 << 64) - 1).count("1") for x in sketch[0] ^ sketch[1])
+            assert count <= (gone + fresh if level[0] == 0 else oddsketch.most(gone + fresh, int(level[0])))
+            assert count >= 0.6 * (gone + fresh) / 2 ** int(level[0])
 
 
 def test_sets_are_told_apart_by_bytes():
