@@ -21,10 +21,10 @@ Verification is exact, on whole texts: words are told apart by their bytes, and
 the sets' intersection is counted.  It goes in rounds, so that a large group of
 near copies costs work in proportion to its members, not to its pairs:
 
-1. Every class against one class only, the smallest of a band that it shares.
-2. Every class against the closest candidate, by sketch, of another component,
-   ``NEAREST`` times.
-3. All candidates that are still in different components.  In each band only the
+1. In each band one class leads, by a hash of the round; every class against the
+   closest, by sketch, of the leaders that lie in other components than itself.
+   ``STARS`` such rounds merge nearly all that is linked.
+2. All candidates that are still in different components.  In each band only the
    classes outside its largest component ask; pairs inside a component need no
    link of their own.
 
@@ -57,8 +57,8 @@ from panelspark.llm.tables import written
 #: Fixed values of the contract.
 WIDTH, PERCENT = 2, 80
 BANDS, ROWS, BITS, SAMPLE, MISS = 28, 4, 1024, 512, 1e-7
-#: Rounds of closest candidates.
-NEAREST = 2
+#: Rounds of leaders before all pairs of different components.
+STARS = 4
 #: Bytes of text that one bundle of pairs holds, and pairs of one class before it is salted.
 BUNDLE_BYTES, SALT_PAIRS = 4 << 20, 512
 _rng = np.random.default_rng(11_2024)
@@ -85,19 +85,34 @@ def sketches(row: np.ndarray, hashed: np.ndarray, size: np.ndarray) -> tuple[np.
     return level, np.packbits(odd, axis=1, bitorder="little").view(np.int64)
 
 
+def _named(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes | None]]:
+    """Row and hash of the distinct shingles, the sets' sizes, and the digests of the words."""
+    r, h = shingles(text, width)
+    size = np.bincount(r, minlength=len(text))
+    buf, off = K.text_bytes(text)
+    buf = K.lower(buf)
+    keys = [hashlib.blake2b(b" ".join(buf[off[k]:off[k + 1]].tobytes().split()), digest_size=16).digest() if size[k] else None
+            for k in range(len(text))]
+    return r, h, size, keys
+
+
+def _name_mapper(width: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in K.chunks(batch, "text"):
+                _, _, size, keys = _named(part.column("text"), width)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(keys, pa.binary()), pa.array(size, pa.int64())],
+                                                 names=["doc_id", "key", "size"])
+    return run
+
+
 def _sign_mapper(width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in K.chunks(batch, "text"):
                 text, n = part.column("text"), part.num_rows
-                r, h = shingles(text, width)
+                r, h, size, keys = _named(text, width)
                 full, first = np.unique(r, return_index=True)
-                size = np.bincount(r, minlength=n)
-                keys: list[bytes | None] = [None] * n
-                buf, off = K.text_bytes(text)
-                buf = K.lower(buf)
-                for k in full.tolist():
-                    keys[k] = hashlib.blake2b(b" ".join(buf[off[k]:off[k + 1]].tobytes().split()), digest_size=16).digest()
                 bands = np.zeros((len(full), BANDS), np.uint64)
                 for band in range(BANDS if len(full) else 0):
                     label = np.full(len(full), band, np.uint64)
@@ -115,12 +130,15 @@ def _sign_mapper(width: int):
     return run
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+
+
 def sign(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, key`` (digest of the words, null without any), ``size`` of the
-    set, ``bands``, the odd sketch and ``text`` of every row."""
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    set, ``bands``, the odd sketch with its ``level``, and ``text`` of every row."""
     sketch = ", ".join(f"{s} long" for s in _SKETCH)
-    return rows.mapInArrow(_sign_mapper(width), f"doc_id long, key binary, size long, bands array<long>, level long, {sketch}, text string")
+    return _rows(docs).mapInArrow(_sign_mapper(width), f"doc_id long, key binary, size long, bands array<long>, level long, {sketch}, text string")
 
 
 def exact_sets(text: pa.Array, width: int) -> list[np.ndarray]:
@@ -194,19 +212,34 @@ def _close(a: str, b: str, percent: int) -> F.Column:
     return (100 * F.least(size, other) >= percent * F.greatest(size, other)) & ((level != same) | (_differ(a, b) <= count))
 
 
-def crossing(shared: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """``u, v, differ`` of every two classes that share a band, are close, and lie in
-    different ``groups`` (node, root); each pair once."""
-    groups = groups.select(F.col("node").alias("key"), "root")
+def _placed(shared: DataFrame, links: DataFrame | None) -> DataFrame:
+    """``shared`` with each class's component (``root``), in bands of several ones."""
+    if links is None:
+        return shared.withColumn("root", F.col("key"))
+    groups = components(links).select(F.col("node").alias("key"), "root")
     placed = shared.join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
     several = placed.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a != b").select("band")
-    placed = written(placed.join(several, "band"), "placed")
+    return written(placed.join(several, "band"), "placed")
+
+
+def led(placed: DataFrame, percent: int, turn: int) -> DataFrame:
+    """``u, v``: every class with its closest leader in another component, if any is close."""
+    leaders = placed.groupBy("band").agg(F.min_by(F.struct("key", "root", "about"), F.xxhash64("key", F.lit(turn))).alias("lead")) \
+        .select("band", F.col("lead.key").alias("u"), F.col("lead.root").alias("ru"), F.col("lead.about").alias("au"))
+    met = placed.join(leaders, "band").where((F.col("root") != F.col("ru")) & _close("about", "au", percent))
+    return met.groupBy("key").agg(F.min(F.struct(_differ("about", "au").alias("differ"), "u")).alias("best")) \
+        .select(F.col("best.u").alias("u"), F.col("key").alias("v"))
+
+
+def crossing(placed: DataFrame, percent: int) -> DataFrame:
+    """``u, v`` of every two classes that share a band, are close, and lie in
+    different components; each pair once."""
     largest = placed.groupBy("band", "root").count().groupBy("band").agg(F.max_by("root", F.struct("count", "root")).alias("main"))
     asking = placed.join(largest, "band").where("root != main").select("band", F.col("key").alias("u"), F.col("root").alias("ru"), F.col("about").alias("au"), "main")
     others = placed.select("band", F.col("key").alias("v"), F.col("root").alias("rv"), F.col("about").alias("av"))
     # Two that both ask meet once.
     met = asking.join(others, "band").where((F.col("ru") != F.col("rv")) & ((F.col("rv") == F.col("main")) | (F.col("u") < F.col("v"))) & _close("au", "av", percent))
-    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), _differ("au", "av").alias("differ")).distinct()
+    return met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
 def link(signed: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -215,27 +248,17 @@ def link(signed: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
     classes = written(signed.where("key IS NOT NULL").withColumn("about", F.struct("size", "level", *_SKETCH)).groupBy("key").agg(
         F.min("doc_id").alias("cid"), *[F.first(c).alias(c) for c in ("bands", "about", "text")]), "classes")
     held = classes.select("key", F.explode("bands").alias("band"))
-    least = held.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("band", "low")
-    shared = written(held.join(least, "band"), "shared")
-    members = written(classes.select("key", "cid", "about", "text")
-                      .join(shared.select("key").distinct(), "key"), "members")
+    several = held.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("band")
+    shared = written(held.join(several, "band"), "shared")
+    members = written(classes.select("key", "cid", "about", "text").join(shared.select("key").distinct(), "key"), "members")
     shared = written(shared.join(members.select("key", "about"), "key"), "shared")
-    # First, of the smallest classes of its bands, the closest one by 32s of the count, then the smallest.
-    low = members.select(F.col("key").alias("low"), F.col("about").alias("lead"))
-    first = shared.where("key != low").select("key", "low", "about").distinct().join(low, "low").where(_close("about", "lead", percent)) \
-        .groupBy("key").agg(F.min(F.struct(F.shiftright(_differ("about", "lead"), 5).alias("step"), "low")).alias("best")) \
-        .select(F.col("best.low").alias("u"), F.col("key").alias("v"))
-    links = verified(first, members, width, percent)
-    # Then the closest class in another component, and at last all that are left.
-    for step in range(NEAREST + 1):
-        groups = written(components(links), "merged")
-        pairs = crossing(shared, groups, percent)
-        if step < NEAREST:
-            ends = pairs.select("u", "v", "differ").union(pairs.select("v", "u", "differ"))
-            pairs = ends.groupBy("u").agg(F.min(F.struct("differ", "v")).alias("best")).select("u", "best.v")
-        links = links.union(verified(pairs, members, width, percent))
-    found = written(components(links), "found")
-    ids = found.join(members.select(F.col("key").alias("node"), "cid"), "node")
+    links = None
+    for turn in range(STARS + 1):
+        placed = _placed(shared, links)
+        pairs = led(placed, percent, turn) if turn < STARS else crossing(placed, percent)
+        found = verified(pairs, members, width, percent)
+        links = found if links is None else links.union(found)
+    ids = written(components(links), "found").join(members.select(F.col("key").alias("node"), "cid"), "node")
     heads = ids.groupBy("root").agg(F.min("cid").alias("component_id"))
     linked = ids.join(heads, "root").select(F.col("node").alias("key"), "component_id")
     return linked.union(classes.select("key", "cid").join(linked.select("key"), "key", "left_anti"))
@@ -243,9 +266,8 @@ def link(signed: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataF
 
 def dedup(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
-    signed = sign(docs, width)
-    found = link(signed, width, percent)
-    rows = written(signed.select("doc_id", "key", "size"), "rows").join(found, "key", "left")
+    found = link(sign(docs, width), width, percent)
+    rows = _rows(docs).mapInArrow(_name_mapper(width), "doc_id long, key binary, size long").join(found, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", F.col("size").alias("n_shingles"), component.alias("component_id")) \
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
