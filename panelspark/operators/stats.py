@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.columns import hash_text
@@ -137,22 +137,34 @@ def top_association(corr: DataFrame, target: str, top: int = 1) -> DataFrame:
             .limit(top))
 
 
+#: Hex digits of the hash that the histogram of a seeded sample counts by.
+SAMPLE_DIGITS = 5
+
+
 def seeded_sample(df: DataFrame, n: int, key: Sequence[str], salt: str = "42",
                   columns: Sequence[str] | None = None) -> DataFrame:
-    """At most ``n`` rows chosen by the md5 of ``key||salt``.
+    """At most ``n`` rows chosen by the md5 of ``key||salt``: those with the
+    smallest hashes, in that order.
 
     A hash order instead of ``orderBy(rand(seed))``: the same rows for any
-    partitioning and in any engine.  ``orderBy().limit(n)`` plans as
-    ``TakeOrderedAndProject``: every task keeps its best ``n`` and only
-    ``n x tasks`` rows meet in the final merge.  The key, then the other
+    partitioning and in any engine.  Rows are first counted by the leading
+    digits of their hash (at most ``16 ** SAMPLE_DIGITS`` counts), the running
+    sum of which gives the last leading part that the sample reaches.  Only
+    rows up to there, ``n`` and those of one such part, are then ordered, so
+    the merge does not grow with tasks or rows.  The key, then the other
     output columns, break ties, so even rows sharing a key are chosen
     deterministically (rows equal in every output column are interchangeable).
     """
     key = list(key)
     cols = list(columns) if columns is not None else df.columns
-    ordered = df.withColumn("_h", F.md5(hash_text(key, salt)))
+    hashed = F.md5(hash_text(key, salt))
+    head = F.substring(hashed, 1, SAMPLE_DIGITS)
+    parts = df.groupBy(head.alias("_head")).agg(F.count(F.lit(1)).alias("_n"))
+    reached = F.sum("_n").over(Window.orderBy("_head").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = parts.withColumn("_sum", reached).where(F.col("_sum") >= n).agg(F.min("_head")).scalar()
+    near = df.where(head <= F.coalesce(last, F.lit("g"))).withColumn("_h", hashed)
     ties = key + [c for c in cols if c not in key]
-    return ordered.orderBy("_h", *ties).limit(n).select(*cols)
+    return near.orderBy("_h", *ties).limit(n).select(*cols)
 
 
 def group_mode(df: DataFrame, by: Sequence[str], column: str, out_col: str | None = None) -> DataFrame:

@@ -157,31 +157,41 @@ def q_csv_scan_periods(spark, sf_dir):
     files = [M.PeriodFile("development", 0, 0, "lineitem_development.csv"),
              M.PeriodFile("holdout", S.HOLDOUT_YEAR, 0, "lineitem_holdout.csv")]
     for frame, f, order in ((dev, files[0], cols), (hold, files[1], cols[::-1])):
-        (frame.select(*order).write.mode("overwrite").option("header", "true").option("escape", '"')
-         .csv(f"{landing}/{f.file_name}"))
+        store.write_csv(frame.select(*order), f"{landing}/{f.file_name}")
     data = scan.scan_periods(spark, landing, files, CSV_MAP, fmt="csv")
     typed = harmonise(data, measures=["quantity", "price"], codes=["order_key", "line_number", "flag"])
     return typed.select(*CSV_MAP, "period", "source_file")
 
 
+def _audit_columns(year: int) -> list[str]:
+    """The columns of a year's landed file: rotated, and one more from the middle year on."""
+    at = S.YEARS.index(year)
+    turned = UNION_COLUMNS[at % len(UNION_COLUMNS):] + UNION_COLUMNS[:at % len(UNION_COLUMNS)]
+    return turned + (["l_tax"] if 2 * at >= len(S.YEARS) else [])
+
+
+_WIDTHS_SQL = "(VALUES " + ", ".join(f"('{y}', CAST({len(_audit_columns(y))} AS INTEGER))" for y in S.YEARS) + ") w(period, columns)"
+
+
 @query("manifest_row_audit", sql=(
-    f"WITH l AS (SELECT CAST(year(l_shipdate) AS VARCHAR) AS period, count(*) AS n "
-    f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL}) GROUP BY 1) "
-    f"SELECT m.period, m.file_name, m.expected_rows, COALESCE(l.n, 0) AS rows, "
-    f"COALESCE(l.n, 0) = m.expected_rows AS ok, CAST({len(UNION_COLUMNS)} AS INTEGER) AS columns "
-    f"FROM {_manifest_values_sql()} LEFT JOIN l ON m.period = l.period"))
+    f"WITH l AS (SELECT CAST(year(l_shipdate) AS VARCHAR) AS p, count(*) AS n FROM lineitem GROUP BY 1), "
+    f"a AS (SELECT coalesce(m.period, l.p) AS period, m.file_name, m.expected_rows, coalesce(l.n, 0) AS rows, "
+    f"CASE WHEN m.period IS NULL THEN 'unlisted' WHEN coalesce(l.n, 0) = m.expected_rows THEN 'matched' "
+    f"WHEN l.n IS NULL THEN 'missing' ELSE 'differs' END AS status "
+    f"FROM {_manifest_values_sql()} FULL JOIN l ON m.period IS NOT DISTINCT FROM l.p) "
+    f"SELECT a.*, status = 'matched' AS ok, w.columns FROM a LEFT JOIN {_WIDTHS_SQL} ON w.period = a.period"))
 def q_manifest_row_audit(spark, sf_dir):
-    """Rows per period against the manifest.  The loaded rows are one pass
-    over the data with the period of each row (as one scan of all landed
-    files gives); the column count of each period file is metadata only."""
+    """Rows per period against the manifest, every row of the table accounted
+    for (periods outside the manifest and rows without a date too), and the
+    columns that each landed period file lists in its own header."""
     files = S.period_files()
-    man = M.manifest_frame(spark, files)
-    frames = S.period_frames(spark, sf_dir, UNION_COLUMNS)
-    widths = spark.createDataFrame([(p, scan.column_count(f)) for p, f in frames.items()],
-                                   "period string, columns int")
-    loaded = S.lines(spark, sf_dir).where(F.col("year").isin(*S.YEARS)).select("period")
-    audit_df = M.row_audit(loaded, man, widths)
-    return audit_df.select("period", "file_name", "expected_rows", "rows", "ok", "columns")
+    landing = shared_dir(spark, "audit-landing", unique=True)
+    li = S.table(spark, sf_dir, "lineitem")
+    for f in files:
+        store.write_csv(S.year_slice(li, f.year).select(*_audit_columns(f.year)), f"{landing}/{f.file_name}")
+    widths = scan.column_counts(spark, landing, files)
+    audit_df = M.row_audit(S.lines(spark, sf_dir).select("period"), M.manifest_frame(spark, files), widths)
+    return audit_df.select("period", "file_name", "expected_rows", "rows", "status", "ok", "columns")
 
 
 @query("parquet_roundtrip", sql="SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
@@ -673,13 +683,16 @@ def q_one_hot_encode(spark, sf_dir):
 
 
 def _dev_holdout(spark, sf_dir):
+    """Rows before the holdout year (or without a date), and all later ones."""
     li = S.table(spark, sf_dir, "lineitem").withColumn("year", F.year("l_shipdate"))
-    dev = li.where(F.col("year") < S.HOLDOUT_YEAR)
-    hold = li.where(F.col("year") == S.HOLDOUT_YEAR)
-    return dev, hold
+    start = F.make_timestamp_ntz(F.lit(S.HOLDOUT_YEAR), *[F.lit(n) for n in (1, 1, 0, 0, 0)])
+    shipped = F.col("l_shipdate")  # compared as it is stored, so both conditions reach the scan
+    return li.where(shipped.isNull() | (shipped < start)), li.where(shipped >= start)
 
 
-DEV_SQL = f"SELECT *, {PCT_SQL} AS pct FROM lineitem WHERE year(l_shipdate) < {S.HOLDOUT_YEAR}"
+DEV_SQL = (f"SELECT *, {PCT_SQL} AS pct FROM lineitem "
+           f"WHERE NOT coalesce(year(l_shipdate) >= {S.HOLDOUT_YEAR}, FALSE)")
+HOLD_WHERE_SQL = f"coalesce(year(l_shipdate) >= {S.HOLDOUT_YEAR}, FALSE)"
 
 
 def _metrics_sql(src: str, label: str, pred: str, name: str | None = None) -> str:
@@ -781,22 +794,71 @@ def q_model_comparison(spark, sf_dir):
                               "rmse_vs_baseline": r6("rmse_vs_baseline")})
 
 
-HOLDOUT_SQL = (
-    f"WITH d AS (SELECT *, {S.LINEAR_SQL} AS y FROM ({DEV_SQL}) a), m AS (SELECT avg(y) AS mu FROM d WHERE pct < 80), "
-    f"h AS (SELECT {S.LINEAR_SQL} AS y, mu AS p FROM lineitem, m WHERE year(l_shipdate) = {S.HOLDOUT_YEAR}) "
-    f"SELECT 'baseline_mean' AS model, count(*) AS n_holdout, count(*) AS n_scored, TRUE AS rows_ok, "
-    f"round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, "
-    f"round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) AS r2 FROM h "
-    f"UNION ALL SELECT 'linear', count(*), count(*), TRUE, 0.0, 0.0, 1.0 FROM h")
+# The real price: its linear fit has a closed form (one measure within one code:
+# the slope of deviations from the code's means), and the forest without bootstrap
+# over two codes predicts their cells' means.  Neither is exact on the holdout.
+PRICE_LINEAR = regress.FeatureSpec(numeric=("l_quantity",), categorical=("l_returnflag",), label="l_extendedprice")
+PRICE_FOREST = regress.FeatureSpec(numeric=(), categorical=("l_returnflag", "l_linestatus"), label="l_extendedprice")
+
+SCORED_SQL = f"""
+WITH train AS (SELECT * FROM ({DEV_SQL}) d WHERE pct < 80),
+mu AS (SELECT avg(l_extendedprice) AS m FROM train),
+code AS (SELECT l_returnflag, avg(l_quantity) AS mx, avg(l_extendedprice) AS my FROM train GROUP BY l_returnflag),
+slope AS (SELECT sum((l_quantity - mx) * (l_extendedprice - my)) / sum((l_quantity - mx) * (l_quantity - mx)) AS b
+          FROM train JOIN code USING (l_returnflag)),
+cell AS (SELECT l_returnflag, l_linestatus, avg(l_extendedprice) AS p FROM train GROUP BY ALL),
+scored AS (
+    SELECT h.*, h.l_extendedprice AS y, mu.m AS baseline_mean, code.my + slope.b * (h.l_quantity - code.mx) AS linear, cell.p AS forest
+    FROM (SELECT *, {HOLD_WHERE_SQL} AS later, {PCT_SQL} AS pct FROM lineitem) h, mu, slope
+    LEFT JOIN code ON code.l_returnflag = h.l_returnflag
+    LEFT JOIN cell ON cell.l_returnflag = h.l_returnflag AND cell.l_linestatus = h.l_linestatus),
+long AS (
+    SELECT *, y - prediction AS e FROM (
+        SELECT *, 'baseline_mean' AS model, baseline_mean AS prediction FROM scored
+        UNION ALL SELECT *, 'linear', linear FROM scored UNION ALL SELECT *, 'forest', forest FROM scored) a)
+"""
+
+
+def _frozen(spark, sf_dir):
+    """(training rows, validation rows, holdout, training mean, the two fitted pipelines)."""
+    dev, hold = _dev_holdout(spark, sf_dir)
+    train, valid = regress.split_frames(dev, KEY3, 80, S.SPLIT_SALT)
+    linear = regress.fit_pipeline(regress.linear_pipeline(PRICE_LINEAR, 0.0, tol=1e-13), train, PRICE_LINEAR, KEY3)
+    forest = regress.fit_pipeline(regress.forest_pipeline(PRICE_FOREST, num_trees=10, max_depth=5, subset="all", bootstrap=False),
+                                  train, PRICE_FOREST, KEY3)
+    return train, valid, hold, train.agg(F.avg("l_extendedprice")).scalar(), [("linear", linear), ("forest", forest)]
+
 
+def _set_metrics_sql(where: str) -> str:
+    return (f"SELECT model, count(*) AS n_holdout, count(prediction) AS n_scored, count(prediction) = count(*) AS rows_ok, "
+            f"round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse, "
+            f"round(1 - sum(e * e) / (var_pop(CASE WHEN e IS NOT NULL THEN y END) * count(e)), 6) AS r2 "
+            f"FROM long WHERE {where} GROUP BY model")
 
-@query("holdout_evaluation", sql=HOLDOUT_SQL)
+
+@query("holdout_evaluation", sql=SCORED_SQL + _set_metrics_sql("later"))
 def q_holdout_evaluation(spark, sf_dir):
-    train, _, hold = _linear_sets(spark, sf_dir)
-    model = _linear_model(spark, sf_dir, train)
-    mean = train.agg(F.avg("y")).scalar()
-    out = regress.holdout_evaluation([("linear", model)], hold, "y", train_mean=mean)
-    return out.withColumns({"mae": F.abs(r4("mae")), "rmse": r4("rmse"), "r2": r6("r2")})
+    """Baseline, linear and forest on the same held-out rows, in one pass."""
+    _, _, hold, mean, models = _frozen(spark, sf_dir)
+    return _round_metrics(regress.holdout_evaluation(models, hold, "l_extendedprice", train_mean=mean))
+
+
+@query("leaderboard_across_sets", sql=SCORED_SQL + f""",
+metric AS (
+    SELECT 'validation' AS set, * FROM ({_set_metrics_sql("NOT later AND pct >= 80").replace("round(sqrt(avg(e * e)), 4)", "sqrt(avg(e * e))")}) v
+    UNION ALL SELECT 'holdout', * FROM ({_set_metrics_sql("later").replace("round(sqrt(avg(e * e)), 4)", "sqrt(avg(e * e))")}) h),
+named AS (SELECT *, max(CASE WHEN set = 'validation' THEN rmse END) OVER (PARTITION BY model) AS same,
+                 max(CASE WHEN model = 'baseline_mean' THEN rmse END) OVER (PARTITION BY set) AS base FROM metric)
+SELECT set, model, n_scored AS n, mae, round(rmse, 4) AS rmse, r2, round((rmse - same) / same, 6) AS rmse_vs_reference,
+       round((rmse - base) / base, 6) AS rmse_vs_baseline FROM named""")
+def q_leaderboard_across_sets(spark, sf_dir):
+    """Each model's RMSE on the holdout against its own on the validation rows,
+    and against the baseline's on the same rows."""
+    _, valid, hold, mean, models = _frozen(spark, sf_dir)
+    metrics = {name: regress.holdout_evaluation(models, rows, "l_extendedprice", train_mean=mean).withColumnRenamed("n_scored", "n")
+               for name, rows in (("validation", valid), ("holdout", hold))}
+    board = regress.across_sets(metrics, "validation", regress.BASELINE)
+    return _round_metrics(board).withColumns({c: r6(c) for c in ("rmse_vs_reference", "rmse_vs_baseline")})
 
 
 @query("model_roundtrip", sql=LINEAR_PRED_SQL)
@@ -845,53 +907,43 @@ def q_errors_by_group(spark, sf_dir):
                                                   ["l_returnflag", "l_linestatus"]))
 
 
-def _holdout_err_sql(col: str) -> str:
-    return (f"SELECT '{col}' AS grouping, {col} AS group_value, count(*) AS n, CAST(0.0 AS DOUBLE) AS mae, "
-            f"CAST(0.0 AS DOUBLE) AS mean_error, CAST(0.0 AS DOUBLE) AS rmse FROM lineitem "
-            f"WHERE year(l_shipdate) = {S.HOLDOUT_YEAR} GROUP BY {col}")
+_ERRORS_SQL = ("count(*) AS n, round(avg(abs(e)), 4) AS mae, round(avg(e), 4) AS mean_error, "
+               "round(sqrt(avg(e * e)), 4) AS rmse")
 
 
-@query("holdout_errors_by_group", sql=_holdout_err_sql("l_returnflag") + " UNION ALL "
-       + _holdout_err_sql("l_linestatus"))
+@query("holdout_errors_by_group", sql=SCORED_SQL + " UNION ALL ".join(
+    f"SELECT model, '{c}' AS grouping, {c} AS group_value, {_ERRORS_SQL} FROM long "
+    f"WHERE later AND model != 'baseline_mean' GROUP BY model, {c}" for c in ("l_returnflag", "l_linestatus")))
 def q_holdout_errors_by_group(spark, sf_dir):
-    """Errors of the frozen forest pipeline on the held-out year, by group.
-    On the step fixture with every feature tried at each split the forest is
-    exact, so every error is 0 and the oracle is the row count per group."""
-    dev, hold = _dev_holdout(spark, sf_dir)
-    train, _ = regress.split_frames(dev.withColumn("z", S.step_target()), KEY3, 80, S.SPLIT_SALT)
-    model = regress.fit_pipeline(regress.forest_pipeline(STEP_SPEC, num_trees=20, max_depth=5, subset="all"),
-                                 train, STEP_SPEC, KEY3)
-    scored = regress.score(model, hold.withColumn("z", S.step_target()), "prediction")
-    out = diagnose.errors_by_group(scored, "z", ["l_returnflag", "l_linestatus"])
-    # + 0.0 turns a rounded -0.0 into 0.0.
-    return out.withColumns({c: r4(c) + F.lit(0.0) for c in ("mae", "mean_error", "rmse")})
-
-
-def _band_sql() -> str:
-    e = f"(l_extendedprice - {S.PRED_A_SQL})"
-    labels_ = diagnose.BAND_LABELS
-    return (f"WITH q AS (SELECT quantile_disc(l_extendedprice, 0.5) AS p50, "
-            f"quantile_disc(l_extendedprice, 0.9) AS p90 FROM lineitem), "
-            f"b AS (SELECT l.*, CASE WHEN l_extendedprice <= p50 THEN '{labels_[0]}' "
-            f"WHEN l_extendedprice <= p90 THEN '{labels_[1]}' ELSE '{labels_[2]}' END AS band "
-            f"FROM lineitem l, q) "
-            f"SELECT band, count(*) AS n, round(avg(abs({e})), 4) AS mae, round(avg({e}), 4) AS mean_error, "
-            f"round(sqrt(avg({e} * {e})), 4) AS rmse FROM b GROUP BY band")
-
-
-@query("errors_by_quantile_band", sql=_band_sql())
+    """Errors of both fitted models on the held-out rows, by two groupings."""
+    _, _, hold, _, models = _frozen(spark, sf_dir)
+    scored, names = regress.score_all(hold, models)
+    long = regress.by_model(scored, ["l_extendedprice", "l_returnflag", "l_linestatus"], names)
+    return _round_errors(diagnose.errors_by_group(long, "l_extendedprice", ["l_returnflag", "l_linestatus"], by=["model"]))
+
+
+@query("errors_by_quantile_band", sql=SCORED_SQL + f""",
+q AS (SELECT quantile_disc(y, 0.5) AS p50, quantile_disc(y, 0.9) AS p90 FROM scored WHERE later)
+SELECT model, CASE WHEN y <= p50 THEN '{diagnose.BAND_LABELS[0]}' WHEN y <= p90 THEN '{diagnose.BAND_LABELS[1]}'
+              ELSE '{diagnose.BAND_LABELS[2]}' END AS band, {_ERRORS_SQL}
+FROM long, q WHERE later AND model != 'baseline_mean' GROUP BY ALL""")
 def q_errors_by_quantile_band(spark, sf_dir):
-    return _round_errors(diagnose.errors_by_band(_rule_scored(spark, sf_dir), "l_extendedprice"))
+    """Errors of both fitted models by band of the actual price on the held-out rows."""
+    _, _, hold, _, models = _frozen(spark, sf_dir)
+    scored, names = regress.score_all(hold, models)
+    long = regress.by_model(scored, ["l_extendedprice"], names)
+    return _round_errors(diagnose.errors_by_band(long, "l_extendedprice", thresholds_from=hold, by=["model"]))
 
 
-@query("paired_prediction_sample", sql=_sample_sql(
-    5000, f"l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice AS actual, "
-          f"{S.PRED_A_SQL} AS pred_a, {S.PRED_B_SQL} AS pred_b", "actual, pred_a, pred_b"))
+@query("paired_prediction_sample", sql=SCORED_SQL + (
+    f"SELECT {', '.join(S.SAMPLE_KEY)}, y AS actual, round(linear, 2) AS linear, round(forest, 2) AS forest FROM scored WHERE later "
+    f"ORDER BY md5(concat_ws('|', {', '.join(f'CAST({c} AS VARCHAR)' for c in S.SAMPLE_KEY)}, '42')), "
+    f"{', '.join(S.SAMPLE_KEY)} LIMIT 5000"))
 def q_paired_prediction_sample(spark, sf_dir):
-    scored = _rule_scored(spark, sf_dir).select(
-        *S.SAMPLE_KEY, F.col("l_extendedprice").alias("actual"),
-        F.col("prediction").alias("pred_a"), "pred_b")
-    return diagnose.paired_sample(scored, S.SAMPLE_KEY, ["actual", "pred_a", "pred_b"], n=5000)
+    """The same sampled keys of the held-out rows, scored by both fitted models."""
+    _, _, hold, _, models = _frozen(spark, sf_dir)
+    pairs = diagnose.paired_scores(hold, models, S.SAMPLE_KEY, "l_extendedprice", n=5000)
+    return pairs.withColumns({name: F.round(name, 2) for name, _ in models})
 
 
 def queries() -> dict[str, QueryFn]:

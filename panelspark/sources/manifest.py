@@ -9,8 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.operators.audit import row_count_check
-
 MANIFEST_SCHEMA = T.StructType([
     T.StructField("period", T.StringType(), False),
     T.StructField("year", T.IntegerType(), False),
@@ -62,14 +60,28 @@ def require_no_missing(missing: DataFrame) -> None:
         raise FileNotFoundError("missing input files: " + ", ".join(names))
 
 
+#: What an audit row says of its period.
+MATCHED, DIFFERS, MISSING, UNLISTED, UNCHECKED = "matched", "differs", "missing", "unlisted", "unchecked"
+
+
 def row_audit(loaded: DataFrame, manifest: DataFrame, column_counts: DataFrame | None = None,
               period_col: str = "period") -> DataFrame:
-    """Rows loaded per period against the manifest's expected rows.
-
-    Output: ``period, file_name, expected_rows, rows, ok`` (+ ``columns`` when
-    a per-file column-count table is given)."""
-    audit = row_count_check(loaded, manifest.select(period_col, "file_name", "expected_rows"),
-                            [period_col])
+    """Full accounting of loaded rows and manifest: one row for every period of
+    either side, the NULL period included, so no loaded row goes uncounted.
+
+    Output: ``period, file_name, expected_rows, rows, status, ok`` (+ ``columns``
+    when a per-file column-count table is given).  ``status``: ``matched``,
+    ``differs``, ``missing`` (listed, no row loaded), ``unlisted`` (loaded, not in
+    the manifest), ``unchecked`` (listed without a count); ``ok`` is ``matched``.
+    Rows are counted before the null-safe outer join of two small tables."""
+    rows = loaded.groupBy(F.col(period_col).cast("string").alias("_loaded")).agg(F.count(F.lit(1)).alias("_rows"))
+    listed = manifest.select(F.col(period_col).alias("_listed"), "file_name", "expected_rows", F.lit(True).alias("_in"))
+    both = listed.join(rows, F.col("_listed").eqNullSafe(F.col("_loaded")), "full_outer")
+    count = F.coalesce("_rows", F.lit(0))
+    status = (F.when(F.col("_in").isNull(), F.lit(UNLISTED)).when(F.col("expected_rows").isNull(), F.lit(UNCHECKED))
+              .when(count == F.col("expected_rows"), F.lit(MATCHED)).when(count == 0, F.lit(MISSING)).otherwise(F.lit(DIFFERS)))
+    audit = both.select(F.coalesce("_listed", "_loaded").alias(period_col), "file_name", "expected_rows",
+                        count.alias("rows"), status.alias("status")).withColumn("ok", F.col("status") == MATCHED)
     if column_counts is not None:
         audit = audit.join(column_counts, period_col, "left")
     return audit

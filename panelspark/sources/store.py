@@ -32,6 +32,11 @@ def write_parquet_counted(df: DataFrame, path: str, partition_by: Sequence[str]
     return rows
 
 
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Delimited text with a header, quotes doubled (as ``scan.read_table`` reads it)."""
+    df.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
+
+
 def dataset_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a completed write (``_SUCCESS`` marker)."""
     jvm = spark.sparkContext._jvm

@@ -87,3 +87,44 @@ def test_write_counted_and_shared_dir(spark):
     assert store.write_parquet_counted(spark.range(25), path, expected_rows=25) == 25
     with pytest.raises(ValueError):
         store.write_parquet_counted(spark.range(3), shared_dir(spark, "counted", unique=True), expected_rows=4)
+
+
+def test_audit_accounts_for_every_row(spark):
+    files = [M.PeriodFile("1", 1, 0, "a", 2), M.PeriodFile("2", 2, 0, "b", 5), M.PeriodFile("3", 3, 0, "c", 1),
+             M.PeriodFile("4", 4, 0, "d", None)]
+    loaded = spark.createDataFrame([(p,) for p in ["1", "1", "2", "9", "9", None, None, None, "4"]], "period string")
+    audit = M.row_audit(loaded, M.manifest_frame(spark, files))
+    got = {r["period"]: (r["file_name"], r["expected_rows"], r["rows"], r["status"], r["ok"]) for r in audit.collect()}
+    assert got == {"1": ("a", 2, 2, "matched", True), "2": ("b", 5, 1, "differs", False), "3": ("c", 1, 0, "missing", False),
+                   "4": ("d", None, 1, "unchecked", False), "9": (None, None, 2, "unlisted", False),
+                   None: (None, None, 3, "unlisted", False)}
+    assert sum(r["rows"] for r in audit.collect()) == loaded.count()
+    with pytest.raises(ValueError, match="None"):
+        M.assert_row_counts(audit)
+
+
+def test_audit_of_empty_sides(spark):
+    files = [M.PeriodFile("1", 1, 0, "a", 0)]
+    none = spark.createDataFrame([], "period string")
+    assert [tuple(r) for r in M.row_audit(none, M.manifest_frame(spark, files)).collect()] == [("1", "a", 0, 0, "matched", True)]
+    assert M.row_audit(none, M.manifest_frame(spark, [])).collect() == []
+
+
+def test_repeated_header_takes_the_first(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "r.csv"), 'ID,X,id,"X",\n1,5,8,6,z\n2,"a ""q""",9,7,\n')
+    path = os.path.join(tmp_dir, "r.csv")
+    assert scan.source_header(spark, path) == ["ID", "X", "id", "X", ""]
+    got = scan.scan_by_name(spark, path, {"key": "ID", "value": "X"}, fmt="csv").collect()
+    assert [tuple(r) for r in got] == [("1", "5"), ("2", 'a "q"')]
+    assert scan.read_table(spark, path, "csv").columns == ["ID", "X", "id#2", "X#3", "#4"]
+
+
+def test_column_counts_are_each_files_own(spark, tmp_dir):
+    _write(os.path.join(tmp_dir, "t1.csv"), "ID,X,EXTRA\n1,5,z\n")
+    _write(os.path.join(tmp_dir, "t2.csv"), "X,ID,X,Y,Z\n7,3,1,1,1\n")
+    files = [M.PeriodFile("1", 1, 1, "t1.csv"), M.PeriodFile("2", 2, 1, "t2.csv")]
+    counts = scan.column_counts(spark, tmp_dir, files)
+    assert sorted(tuple(r) for r in counts.collect()) == [("1", 3, 3), ("2", 5, 4)]
+    data = scan.scan_periods(spark, tmp_dir, files, {"id": "ID", "x": "X"})
+    assert sorted((r["period"], r["id"], r["x"]) for r in data.collect()) == [("1", "1", "5"), ("2", "3", "7")]
+    assert {r["columns"] for r in M.row_audit(data, M.manifest_frame(spark, files), counts).collect()} == {3, 5}
