@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.functions.columns import hash_text
-from panelspark.operators.quantiles import quantiles_wide
+from panelspark.operators.quantiles import moments, quantiles_of, quantiles_wide, value_counts, widened
 
 SUMMARY_PROBS = (0.25, 0.5, 0.75, 0.95)
 SUMMARY_NAMES = ("p25", "median", "p75", "p95")
@@ -24,23 +24,23 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], method: str = "exact"
                     accuracy: int = 10000) -> DataFrame:
     """Per variable: n, mean, sample stddev, min, max and p25/median/p75/p95.
 
-    Moments for all variables come from one aggregate; quantiles from one
-    distributed selection over the stacked values (group = variable, so the
-    number of groups is bounded by ``len(columns)``).
+    The columns are stacked and counted by (variable, value) once; moments and
+    quantiles both read those counts, so the source is scanned once.  A variable
+    without values (of an empty input too) has ``n`` 0 and NULLs.
     """
     cols = list(columns)
-    moments = df.agg(*[
-        F.struct(F.lit(c).alias("variable"), F.count(c).alias("n"), F.avg(c).alias("mean"),
-                 F.stddev_samp(c).alias("stddev"), F.min(c).alias("min"),
-                 F.max(c).alias("max")).alias(f"_m{i}")
-        for i, c in enumerate(cols)
-    ]).select(F.explode(F.array(*[F.col(f"_m{i}") for i in range(len(cols))])).alias("_m")
-              ).select("_m.*")
     stacked = _stack(df.select(*[F.col(c).cast("double") for c in cols]), cols, "variable", "value")
-    qs = quantiles_wide(stacked, "value", SUMMARY_PROBS, SUMMARY_NAMES, by=["variable"],
-                        method=method, accuracy=accuracy, group_bound=len(cols))
-    return combine_by_key([moments, qs], ["variable"]).select(
-        "variable", "n", "mean", "median", "stddev", "min", "p25", "p75", "p95", "max")
+    out = ["variable", "n", "mean", "median", "stddev", "min", "p25", "p75", "p95", "max"]
+    if method == "exact":
+        counts = value_counts(stacked, "value", ["variable"])
+        parts = moments(counts, ["variable"])
+        qs = widened(quantiles_of(counts, SUMMARY_PROBS, ["variable"], len(cols)), SUMMARY_PROBS, SUMMARY_NAMES, ["variable"])
+    else:
+        parts = stacked.groupBy("variable").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+                                                F.min("value").alias("min"), F.max("value").alias("max"))
+        qs = quantiles_wide(stacked, "value", SUMMARY_PROBS, SUMMARY_NAMES, by=["variable"], method=method, accuracy=accuracy)
+    named = df.sparkSession.createDataFrame([(c,) for c in cols], "variable string")
+    return combine_by_key([named, parts, qs], ["variable"]).withColumn("n", F.coalesce("n", F.lit(0))).select(*out)
 
 
 def combine_by_key(frames: Sequence[DataFrame], by: Sequence[str]) -> DataFrame:
@@ -63,9 +63,13 @@ def group_median(df: DataFrame, value: str, by: Sequence[str], method: str = "ex
                  median_col: str = "median") -> DataFrame:
     """Rows and median of ``value`` per group, highest median first."""
     by = list(by)
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    med = quantiles_wide(df, value, [0.5], [median_col], by=by, method=method,
-                         accuracy=accuracy, group_bound=group_bound)
+    if method == "exact":  # rows and medians from the same counts: the source runs once
+        shared = value_counts(df, value, by)
+        counts = shared.groupBy(*by).agg(F.sum("_c").alias("n"))
+        med = widened(quantiles_of(shared, [0.5], by, group_bound), [0.5], [median_col], by)
+    else:
+        counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+        med = quantiles_wide(df, value, [0.5], [median_col], by=by, method=method, accuracy=accuracy)
     out = combine_by_key([counts, med], by).select(*by, "n", median_col)
     return out.orderBy(F.desc_nulls_last(median_col), *by)
 

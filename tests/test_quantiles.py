@@ -6,6 +6,7 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from panelspark.operators.quantiles import approx_quantiles, exact_quantiles, quantiles_wide
 
@@ -92,3 +93,48 @@ def test_exact_property_two_keys_default_slices(spark, data):
     for (g, h), xs in groups.items():
         for p in probs:
             assert got[(g, h, p)] == brute(xs, p)
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_slices_are_sliced_again(spark, monkeypatch, rounds):
+    from panelspark.operators import quantiles
+    monkeypatch.setattr(quantiles, "REFINE", rounds)
+    rnd = random.Random(rounds)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, float(rnd.randrange(300)), rnd.random()])) for _ in range(3000)]
+    check(spark, rows, by=True, slices=2)
+    check(spark, rows, by=False, slices=2)
+
+
+def test_global_quantiles_join_nothing(spark):
+    df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x")
+    plan = plan_text(exact_quantiles(df, "x", [0.5, 0.9]))
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_moments_of_counts(spark):
+    from panelspark.operators.quantiles import moments, value_counts
+    rnd = random.Random(2)
+    rows = [(g, None if rnd.random() < 0.1 else 1e9 + rnd.randrange(50) / 8) for g in ["a", "b", None] for _ in range(400)]
+    rows += [("one", 5.0), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    for by in (["g"], []):
+        want = {tuple(r[k] for k in by): r for r in df.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("rows"), F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("stddev"),
+            F.min("x").alias("min"), F.max("x").alias("max")).collect()}
+        got = {tuple(r[k] for k in by): r for r in moments(value_counts(df, "x", by, slices=5), by).collect()}
+        assert set(got) == set(want)
+        for k, r in got.items():
+            assert (r["rows"], r["n"], r["min"], r["max"]) == tuple(want[k][c] for c in ("rows", "n", "min", "max"))
+            for c in ("mean", "stddev"):
+                assert r[c] == want[k][c] or math.isclose(r[c], want[k][c], rel_tol=1e-6), (k, c)
+
+
+def test_a_summary_scans_its_source_once(spark, tmp_dir):
+    from panelspark.operators import stats
+    spark.createDataFrame([(float(k % 40), float(k), "ab"[k % 2]) for k in range(500)], "x double, y double, g string") \
+        .write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    for made in (stats.numeric_summary(df, ["x", "y"]), stats.group_median(df, "x", ["g"], group_bound=2)):
+        made.collect()
+        final = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert final.count("FileScan") <= 1 or "ReusedExchange" in final or "ReusedQueryStage" in final
