@@ -30,8 +30,9 @@ from panelspark.llm import textkit as K
 LEAF = 2048
 #: Tokens on each side that must agree before a join is taken.
 AGREE = 16
-#: Distinct pieces kept encoded between slices, a bound of memory only.
-CACHE_PIECES = 200_000
+#: Distinct pieces, and their bytes, kept encoded between slices; and pieces that the
+#: tokenizer gets at a time.  Bounds of memory only.
+CACHE_PIECES, CACHE_BYTES, BATCH_PIECES = 100_000, 8 << 20, 4096
 
 _tokenizers: dict[str, object] = {}
 
@@ -112,8 +113,10 @@ def encode_tree(tok, text: str, leaf: int = LEAF, agree: int = AGREE) -> list[in
 def _encode_pieces(tok, pieces: list[str], leaf: int, agree: int) -> list[list[int]]:
     short = [k for k, p in enumerate(pieces) if len(p) <= leaf]
     out: list[list[int]] = [[]] * len(pieces)
-    for k, enc in zip(short, tok.encode_batch_fast([pieces[k] for k in short], add_special_tokens=False)):
-        out[k] = enc.ids
+    for lo in range(0, len(short), BATCH_PIECES):
+        some = short[lo:lo + BATCH_PIECES]
+        for k, enc in zip(some, tok.encode_batch_fast([pieces[k] for k in some], add_special_tokens=False)):
+            out[k] = enc.ids
     for k, p in enumerate(pieces):
         if len(p) > leaf:
             out[k] = encode_tree(tok, p, leaf, agree)
@@ -134,6 +137,7 @@ class Encoder:
     def __init__(self, path: str, leaf: int = LEAF, agree: int = AGREE) -> None:
         self.tok, self.leaf, self.agree = tokenizer(path), leaf, agree
         self.known: dict[bytes, int] = {}
+        self.held = 0
         self.ids = np.zeros(0, np.uint32)
         self.offsets = np.zeros(1, np.int64)
 
@@ -141,17 +145,17 @@ class Encoder:
         """All ids of the rows, and the n + 1 offsets of the rows in them."""
         buf, off = K.text_bytes(column)
         start, end, row = K.word_spans(buf, off, K.NON_SPACE)
-        raw = buf.tobytes()
-        if len(self.known) > CACHE_PIECES:
-            self.known, self.ids, self.offsets = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        # Equal hashes only propose equal pieces; the dictionary holds the bytes themselves.
-        _, lead, same = np.unique(K.span_hash(buf, start, end), return_index=True, return_inverse=True)
-        fresh, code = [], np.empty(len(lead), np.int64)
-        for k, (s, e) in enumerate(zip(start[lead].tolist(), end[lead].tolist())):
-            piece = raw[s:e]
+        if len(self.known) > CACHE_PIECES or self.held > CACHE_BYTES:
+            self.known, self.ids, self.offsets, self.held = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64), 0
+        ends = np.concatenate([[0], np.cumsum(end - start)]).astype(np.int64)
+        pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(buf[K.NON_SPACE[buf]])]) \
+            .dictionary_encode()  # by their bytes
+        fresh, code = [], np.empty(len(pieces.dictionary), np.int64)
+        for k, piece in enumerate(pieces.dictionary.to_pylist()):
             at = self.known.get(piece)
             if at is None:
                 at = self.known[piece] = len(self.known)
+                self.held += len(piece)
                 fresh.append(piece.decode("utf-8"))
             code[k] = at
         if fresh:
@@ -160,12 +164,12 @@ class Encoder:
             flat = np.fromiter((x for ids in made for x in ids), np.uint32, int(sizes.sum()))
             self.ids = np.concatenate([self.ids, flat])
             self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(sizes)])
-        where, size = _ragged(self.offsets, code[same])
+        where, size = _ragged(self.offsets, code[pieces.indices.to_numpy()])
         per_row = np.bincount(row, weights=size, minlength=len(off) - 1).astype(np.int64)
         return self.ids[where], np.concatenate([[0], np.cumsum(per_row)])
 
 
-def _mapper(path: str | Callable[[], str], leaf: int, agree: int, keep_ids: bool):
+def _mapper(path: str | Callable[[], str], leaf: int, agree: int, keep_ids: bool, keep_decoded: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where = path() if callable(path) else path
         encoder = Encoder(where, leaf, agree)
@@ -176,25 +180,33 @@ def _mapper(path: str | Callable[[], str], leaf: int, agree: int, keep_ids: bool
                 decoded, hashes, shas = [], [], []
                 for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
                     text = encoder.tok.decode(raw[a:b].tolist(), skip_special_tokens=False)
-                    decoded.append(text)
+                    if keep_decoded:
+                        decoded.append(text)
                     hashes.append(hashlib.sha256(raw[a:b].tobytes()).hexdigest())
                     shas.append(hashlib.sha256(text.encode()).hexdigest())
                 cols = [part.column("doc_id"), pa.array(off[1:] - off[:-1], pa.int64()), pa.array(hashes), pa.array(shas)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if keep_ids:
-                    cols += [pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids.astype(np.int32))), pa.array(decoded)]
-                    names += ["ids", "decoded"]
+                    cols.append(pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids.astype(np.int32))))
+                    names.append("ids")
+                if keep_decoded:
+                    cols.append(pa.array(decoded, pa.string()))
+                    names.append("decoded")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+                del ids, raw, cols, decoded
+                pa.default_memory_pool().release_unused()
     return run
 
 
 def encode(docs: DataFrame, path: str | Callable[[], str], leaf: int = LEAF, agree: int = AGREE,
-           keep_ids: bool = True) -> DataFrame:
+           keep_ids: bool = True, keep_decoded: bool = True) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row, with
-    ``ids array<int>`` and ``decoded string`` unless ``keep_ids`` is off.
+    ``ids array<int>`` and ``decoded string`` unless they are switched off.
 
     ``path`` is the tokenizer file, or a function that names it on the executor."""
     schema = f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if keep_ids:
-        schema += ", ids array<int>, decoded string"
-    return K.documents(docs, "doc_id", "text").mapInArrow(_mapper(path, leaf, agree, keep_ids), schema)
+        schema += ", ids array<int>"
+    if keep_decoded:
+        schema += ", decoded string"
+    return K.documents(docs, "doc_id", "text").mapInArrow(_mapper(path, leaf, agree, keep_ids, keep_decoded), schema)

@@ -95,7 +95,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path, keep_ids=False)
+    return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path, keep_ids=False, keep_decoded=False)
 
 
 def op11_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -68,3 +68,24 @@ def test_query_equals_library(spark):
 
 def test_empty_table(spark):
     assert bpe.encode(frame(spark, []), PATH).collect() == []
+
+
+def test_long_pieces_that_differ_in_bytes_alone(spark):
+    """Words of 2,048 bytes whose polynomial hashes modulo 2 ** 64 are equal."""
+    morse = [bin(k).count("1") % 2 for k in range(2048)]
+    texts = ["".join("ab"[b] for b in morse), "".join("ba"[b] for b in morse)]
+    got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(frame(spark, texts), PATH).collect()}
+    tok = bpe.tokenizer(PATH)
+    assert [got[k] for k in (0, 1)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] != got[1]
+
+
+def test_bounds_of_memory_change_nothing(spark, monkeypatch):
+    texts = ODD + [f"word{k} " * 3 + f"x{k}" for k in range(60)]
+    want = sorted(map(str, bpe.encode(frame(spark, texts), PATH).collect()))
+    encoder = bpe.Encoder(PATH)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 20)
+    monkeypatch.setattr(bpe, "BATCH_PIECES", 3)
+    import pyarrow as pa
+    first, again = encoder(pa.array(texts)), encoder(pa.array(texts))
+    assert all((a == b).all() for a, b in zip(first, again)) and want
