@@ -43,7 +43,7 @@ def personal_data_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with the digests of the round trip."""
-    return bpe.encode(docs, tokenizer_path).drop("decoded")
+    return bpe.encode(docs, tokenizer_path, keep_decoded=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
