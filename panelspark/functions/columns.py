@@ -75,10 +75,9 @@ def is_missing(c: ColumnLike) -> Column:
 
 
 def map_literal(mapping: Mapping[str, str]) -> Column:
-    pairs: list[Column] = []
-    for key, value in mapping.items():
-        pairs.extend([F.lit(key), F.lit(value)])
-    return F.create_map(*pairs)
+    """A constant dictionary column, from the arrays of its keys and of its values."""
+    keys, values = (F.array(*map(F.lit, side)).cast("array<string>") for side in (mapping.keys(), mapping.values()))
+    return F.map_from_arrays(keys, values)
 
 
 def labelled_code(c: ColumnLike, labels: Mapping[str, str],
