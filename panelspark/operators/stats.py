@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.functions.columns import hash_text
+from panelspark.functions.columns import hash_text, is_finite
 from panelspark.operators.quantiles import moments, quantiles_of, quantiles_wide, value_counts, widened
 
 SUMMARY_PROBS = (0.25, 0.5, 0.75, 0.95)
@@ -86,17 +86,20 @@ def category_frequency(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int = 60, log10: bool = False) -> DataFrame:
     """Equal-width histogram over all rows: ``bin, lo, hi, n`` (non-empty bins).
 
-    The range comes from two scalar subqueries (one global aggregate that
-    Spark runs once and inlines), so nothing is collected and no join is made.
+    The bins span the finite values.  Rows without one (NULL, NaN, infinite; on
+    the log scale also values that are not positive) are counted in a last row
+    whose bin and limits are NULL, so ``n`` adds up to all rows.  The range
+    comes from two scalar subqueries (one global aggregate that Spark runs once
+    and inlines), so nothing is collected and no join is made.
     ``bin = least(floor((x - lo) * bins / (hi - lo)), bins - 1)``.
     """
-    x = F.log10(F.col(value)) if log10 else F.col(value)
-    base = df.select(x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    x = F.log10(F.col(value)) if log10 else F.col(value).cast("double")
+    base = df.select(F.when(is_finite(x), x).alias("_x"))
     stats = base.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     lo = stats.select("lo").scalar()
     hi = stats.select("hi").scalar()
     width = hi - lo
-    idx = F.when(width == 0, F.lit(0)).otherwise(
+    idx = F.when(F.col("_x").isNull(), F.lit(None)).when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - lo) * F.lit(bins) / width), F.lit(bins - 1))).cast("int")
     counted = base.withColumn("bin", idx).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     return counted.select(

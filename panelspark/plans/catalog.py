@@ -82,19 +82,21 @@ def q_scan_by_name(spark, sf_dir):
 
 UNION_COLUMNS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
 YEARS_SQL = ", ".join(str(y) for y in S.YEARS)
+PERIOD_SQL = f"CASE WHEN year(l_shipdate) IN ({YEARS_SQL}) THEN CAST(year(l_shipdate) AS VARCHAR) ELSE '{S.OTHER}' END"
+LISTED_YEAR_SQL = f"CAST(CASE WHEN year(l_shipdate) IN ({YEARS_SQL}) THEN year(l_shipdate) END AS INTEGER)"
 
 
 def _union(spark, sf_dir):
     files = S.period_files()
     frames = S.period_frames(spark, sf_dir, UNION_COLUMNS)
     prov = {f.period: {"source_file": f.file_name, "period": f.period, "year": f.year} for f in files}
+    prov[S.OTHER] = {"source_file": f"lineitem_{S.OTHER}", "period": S.OTHER, "year": None}
     return union_periods(frames, prov, columns=UNION_COLUMNS)
 
 
 @query("union_periods", sql=f"SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, "
-       f"l_returnflag, 'lineitem_' || CAST(year(l_shipdate) AS VARCHAR) AS source_file, "
-       f"CAST(year(l_shipdate) AS VARCHAR) AS period, CAST(year(l_shipdate) AS INTEGER) AS year "
-       f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL})")
+       f"l_returnflag, 'lineitem_' || {PERIOD_SQL} AS source_file, "
+       f"{PERIOD_SQL} AS period, {LISTED_YEAR_SQL} AS year FROM lineitem")
 def q_union_periods(spark, sf_dir):
     return _union(spark, sf_dir)
 
@@ -107,19 +109,20 @@ def _manifest_values_sql() -> str:
 
 @query("stream_ingest_periods", sql=(
     f"SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, "
-    f"l_returnflag, 'lineitem_' || CAST(year(l_shipdate) AS VARCHAR) AS source_file, "
-    f"CAST(year(l_shipdate) AS VARCHAR) AS period, CAST(year(l_shipdate) AS INTEGER) AS year "
-    f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL})"))
+    f"l_returnflag, 'lineitem_' || {PERIOD_SQL} AS source_file, "
+    f"NULLIF({PERIOD_SQL}, '{S.OTHER}') AS period, {LISTED_YEAR_SQL} AS year FROM lineitem"))
 def q_stream_ingest_periods(spark, sf_dir):
     """The yearly slices land as one folder per period file; a file-source
     stream ingests whatever has landed (exactly once, checkpointed) into the
-    period-partitioned dataset, which is then read back."""
+    period-partitioned dataset, which is then read back.  Rows outside the listed
+    years land in a folder that the manifest does not list: their period is NULL."""
     from pyspark.sql import types as T
     from panelspark.streaming.ingest import ingest_available, period_stream
     landing = shared_dir(spark, "landing", unique=True)
-    li = S.table(spark, sf_dir, "lineitem").where(F.year("l_shipdate").isin(*S.YEARS))
-    store.write_parquet(li.select(*UNION_COLUMNS, F.concat(F.lit("lineitem_"), F.year("l_shipdate")
-                                                            .cast("string")).alias("source_file")),
+    li = S.table(spark, sf_dir, "lineitem")
+    year = F.year("l_shipdate")
+    period = F.when(year.isin(*S.YEARS), year.cast("string")).otherwise(S.OTHER)
+    store.write_parquet(li.select(*UNION_COLUMNS, F.concat(F.lit("lineitem_"), period).alias("source_file")),
                         landing, partition_by=["source_file"])
     schema = T.StructType([*[li.schema[c] for c in UNION_COLUMNS],
                            T.StructField("source_file", T.StringType())])
@@ -140,19 +143,16 @@ CSV_MAP = {"order_key": "l_orderkey", "line_number": "l_linenumber", "quantity":
 @query("csv_scan_periods", sql=(
     f"SELECT CAST(l_orderkey AS VARCHAR) AS order_key, CAST(l_linenumber AS VARCHAR) AS line_number, "
     f"l_quantity AS quantity, l_extendedprice AS price, l_returnflag AS flag, "
-    f"CASE WHEN year(l_shipdate) < {S.HOLDOUT_YEAR} THEN 'development' ELSE 'holdout' END AS period, "
-    f"CASE WHEN year(l_shipdate) < {S.HOLDOUT_YEAR} THEN 'lineitem_development.csv' "
-    f"ELSE 'lineitem_holdout.csv' END AS source_file "
-    f"FROM lineitem WHERE year(l_shipdate) IN ({YEARS_SQL})"))
+    f"CASE WHEN coalesce(year(l_shipdate) >= {S.HOLDOUT_YEAR}, FALSE) THEN 'holdout' ELSE 'development' END AS period, "
+    f"CASE WHEN coalesce(year(l_shipdate) >= {S.HOLDOUT_YEAR}, FALSE) THEN 'lineitem_holdout.csv' "
+    f"ELSE 'lineitem_development.csv' END AS source_file FROM lineitem"))
 def q_csv_scan_periods(spark, sf_dir):
     """Period files as the reference receives them: delimited text with a
     header, columns in a different order per file.  Each lands as CSV in the
     shared folder, is scanned by header name (never by position), typed
     (text -> double with ``try_cast``; codes trimmed) and stacked by name."""
     landing = shared_dir(spark, "csv-landing", unique=True)
-    li = S.table(spark, sf_dir, "lineitem")
-    dev = S.year_range(li, S.YEARS[0], S.HOLDOUT_YEAR - 1)
-    hold = S.year_slice(li, S.HOLDOUT_YEAR)
+    dev, hold = _dev_holdout(spark, sf_dir)
     cols = list(CSV_MAP.values())
     files = [M.PeriodFile("development", 0, 0, "lineitem_development.csv"),
              M.PeriodFile("holdout", S.HOLDOUT_YEAR, 0, "lineitem_holdout.csv")]
@@ -251,11 +251,9 @@ def q_derive_tenure(spark, sf_dir):
 # ============================================================================
 
 @query("source_code_crosstab", sql=(
-    f"SELECT period, ship_quarter, count(*) AS n FROM ({S.LINES_SQL}) t "
-    f"WHERE year IN ({YEARS_SQL}) GROUP BY period, ship_quarter"))
+    f"SELECT period, ship_quarter, count(*) AS n FROM ({S.LINES_SQL}) t GROUP BY period, ship_quarter"))
 def q_source_code_crosstab(spark, sf_dir):
-    li = S.lines(spark, sf_dir).where(F.col("year").isin(*S.YEARS))
-    return audit.crosstab_counts(li, ["period", "ship_quarter"])
+    return audit.crosstab_counts(S.lines(spark, sf_dir), ["period", "ship_quarter"])
 
 
 MISSING_COLUMNS = ["dirty", "code", "l_quantity", "l_returnflag"]
@@ -440,10 +438,9 @@ def q_group_median_approx(spark, sf_dir):
 
 @query("period_median", sql=(
     f"SELECT period, count(*) AS n, quantile_disc(l_extendedprice, 0.5) AS median_price "
-    f"FROM ({S.LINES_SQL}) t WHERE year IN ({YEARS_SQL}) GROUP BY period"))
+    f"FROM ({S.LINES_SQL}) t GROUP BY period"))
 def q_period_median(spark, sf_dir):
-    li = S.lines(spark, sf_dir).where(F.col("year").isin(*S.YEARS))
-    return stats.group_median(li, "l_extendedprice", ["period"], group_bound=len(S.YEARS),
+    return stats.group_median(S.lines(spark, sf_dir), "l_extendedprice", ["period"],
                               median_col="median_price")
 
 
@@ -471,8 +468,9 @@ def q_seeded_sample(spark, sf_dir):
 
 
 def _hist_sql(expr: str, bins: int = 60) -> str:
-    return (f"WITH b AS (SELECT {expr} AS x FROM orders), s AS (SELECT min(x) AS lo, max(x) AS hi FROM b), "
-            f"h AS (SELECT CASE WHEN hi = lo THEN 0 ELSE CAST(LEAST(floor((x - lo) * {bins} / (hi - lo)), "
+    return (f"WITH a AS (SELECT {expr} AS x FROM orders), b AS (SELECT CASE WHEN isfinite(x) THEN x END AS x FROM a), "
+            f"s AS (SELECT min(x) AS lo, max(x) AS hi FROM b), "
+            f"h AS (SELECT CASE WHEN x IS NULL THEN NULL WHEN hi = lo THEN 0 ELSE CAST(LEAST(floor((x - lo) * {bins} / (hi - lo)), "
             f"{bins - 1}) AS INTEGER) END AS bin FROM b, s) "
             f"SELECT bin, round(lo + bin * (hi - lo) / {bins}, 6) AS lo, "
             f"round(lo + (bin + 1) * (hi - lo) / {bins}, 6) AS hi, count(*) AS n FROM h, s "
@@ -485,7 +483,7 @@ def q_histogram(spark, sf_dir):
     return h.withColumns({"lo": r6("lo"), "hi": r6("hi")})
 
 
-@query("log_histogram", sql=_hist_sql("log10(o_totalprice)"))
+@query("log_histogram", sql=_hist_sql("CASE WHEN o_totalprice > 0 THEN log10(o_totalprice) END"))
 def q_log_histogram(spark, sf_dir):
     h = stats.histogram(S.table(spark, sf_dir, "orders"), "o_totalprice", 60, log10=True)
     return h.withColumns({"lo": r6("lo"), "hi": r6("hi")})
@@ -533,9 +531,7 @@ def q_standardized_features(spark, sf_dir):
 
 @query("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
-    li = S.table(spark, sf_dir, "lineitem")
-    feats = segment.scaler_pipeline(STD_COLUMNS).fit(li).transform(li)
-    table, _ = segment.kmeans_sweep(feats, "features", ks=(2, 3, 4, 5), seed=42, keys=KEY3)
+    table, _ = segment.scaled_sweep(S.table(spark, sf_dir, "lineitem"), STD_COLUMNS, ks=(2, 3, 4, 5), seed=42, keys=KEY3)
     return table.select("k", r6("silhouette").alias("silhouette"), r4("wssse").alias("wssse"), "chosen")
 
 
@@ -550,13 +546,13 @@ def q_kmeans_assign(spark, sf_dir):
     return _separable(spark, sf_dir).select(*KEY3, "cluster")
 
 
-def _silhouette_sql() -> str:
+def _silhouette_sql(cluster: str, x1: str, x2: str) -> str:
     # Closed form of the squared-Euclidean silhouette: per point the mean
     # squared distance to cluster C is |x|^2 - 2 x.s_C / n_C + Y_C / n_C;
     # for the point's own cluster it is rescaled by n / (n - 1).
     return (
-        "WITH p AS (SELECT row_number() OVER () AS pid, CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END AS c, "
-        "l_quantity AS x1, l_discount * 100 AS x2 FROM lineitem), "
+        f"WITH p AS (SELECT row_number() OVER () AS pid, {cluster} AS c, "
+        f"{x1} AS x1, {x2} AS x2 FROM lineitem), "
         "k AS (SELECT c, count(*) AS n, sum(x1) AS s1, sum(x2) AS s2, sum(x1 * x1 + x2 * x2) AS y "
         "FROM p GROUP BY c), "
         "d AS (SELECT p.pid, p.c AS own, k.c AS other, k.n AS n, "
@@ -570,7 +566,7 @@ def _silhouette_sql() -> str:
         "SELECT round(avg(s), 6) AS silhouette FROM s")
 
 
-@query("silhouette_score", sql=_silhouette_sql())
+@query("silhouette_score", sql=_silhouette_sql("CASE WHEN l_quantity > 25 THEN 1 ELSE 0 END", "l_quantity", "l_discount * 100"))
 def q_silhouette_score(spark, sf_dir):
     from pyspark.ml.feature import VectorAssembler
     li = S.table(spark, sf_dir, "lineitem").withColumns({
@@ -581,12 +577,36 @@ def q_silhouette_score(spark, sf_dir):
     return spark.createDataFrame([(round(value, 6),)], "silhouette double")
 
 
+# Three separated groups by return flag: two near ones and a far one.  Two
+# clusters join the near ones, three clusters are the groups themselves.
+BLOB_SQL = "l_discount + CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 10 ELSE 60 END"
+BLOB_CLUSTERS = {2: "CASE WHEN l_returnflag IN ('A', 'N') THEN 0 ELSE 1 END",
+                 3: "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"}
+
+
+def _cost_sql(cluster: str) -> str:
+    return (f"SELECT round(sum(c), 4) AS wssse FROM (SELECT var_pop({BLOB_SQL}) * count(*) + var_pop(l_tax) * count(*) AS c "
+            f"FROM lineitem GROUP BY {cluster}) g")
+
+
+@query("kmeans_sweep_separated", sql=(
+    "SELECT k, silhouette, wssse, row_number() OVER (ORDER BY silhouette DESC, k) = 1 AS chosen FROM ("
+    + " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS k, ({_silhouette_sql(c, BLOB_SQL, 'l_tax')}) AS silhouette, "
+                         f"({_cost_sql(c)}) AS wssse" for k, c in BLOB_CLUSTERS.items()) + ") t"))
+def q_kmeans_sweep_separated(spark, sf_dir):
+    """The sweep over groups with a known answer: costs, silhouettes and the choice."""
+    from pyspark.ml.feature import VectorAssembler
+    li = S.table(spark, sf_dir, "lineitem").withColumn("x", F.expr(BLOB_SQL))
+    feats = VectorAssembler(inputCols=["x", "l_tax"], outputCol="features").transform(li)
+    table, _ = segment.kmeans_sweep(feats, "features", ks=tuple(BLOB_CLUSTERS), keys=KEY3)
+    return table.select("k", r6("silhouette").alias("silhouette"), r4("wssse").alias("wssse"), "chosen")
+
+
 PROFILE_MODES = {"l_returnflag": "returnflag_mode", "l_linestatus": "linestatus_mode"}
 
 
 def _profile(spark, sf_dir):
-    scored = segment.materialize(_separable(spark, sf_dir),
-                                 ["cluster", "l_quantity", "l_tax", "l_extendedprice", *PROFILE_MODES])
+    scored = _separable(spark, sf_dir)
     prof = segment.cluster_profile(scored, "cluster", ["l_quantity", "l_tax"], "l_extendedprice",
                                    PROFILE_MODES, cluster_bound=2)
     return scored, prof
@@ -872,6 +892,18 @@ def q_model_roundtrip(spark, sf_dir):
     return loaded.transform(li).select(*KEY3, F.round("prediction", 2).alias("prediction"))
 
 
+@query("forest_roundtrip", sql=f"SELECT {KEY3_SQL}, round({S.STEP_SQL}, 2) AS prediction FROM lineitem")
+def q_forest_roundtrip(spark, sf_dir):
+    """The winner of a forest sweep, saved, reloaded and scored on all rows."""
+    dev, _ = _dev_holdout(spark, sf_dir)
+    train, valid = regress.split_frames(dev.withColumn("z", S.step_target()), KEY3, 80, S.SPLIT_SALT)
+    sweep = regress.forest_sweep(train, valid, STEP_SPEC, configs=((1, 1), (10, 5)), subset="all", keys=KEY3)
+    path = shared_dir(spark, "models", "forest", unique=True)
+    store.save_model(sweep.best_model, path)
+    scored = store.load_model(path).transform(S.table(spark, sf_dir, "lineitem"))
+    return scored.select(*KEY3, F.round("prediction", 2).alias("prediction"))
+
+
 # ============================================================================
 # Diagnostics
 # ============================================================================

@@ -28,6 +28,7 @@ from panelspark.sources.manifest import PeriodFile
 # --- fixed values of the stand-in -------------------------------------------
 YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
 HOLDOUT_YEAR = 2001
+OTHER = "other"  # the period of rows that no listed year holds
 RETURNFLAG_LABELS = {"A": "Accepted", "N": "Not returned", "R": "Returned"}
 LINESTATUS_LABELS = {"F": "Filled", "O": "Open"}
 PRIORITY_LABELS = {"1": "Urgent", "2": "High", "3": "Medium", "4": "Not specified"}
@@ -191,15 +192,22 @@ def year_slice(df: DataFrame, year: int) -> DataFrame:
     return year_range(df, year, year)
 
 
+def outside_years(df: DataFrame) -> DataFrame:
+    """Rows of no listed year: shipped earlier or later, or without a date."""
+    year = F.year("l_shipdate")
+    return df.where(year.isNull() | ~year.isin(*YEARS))
+
+
 def period_frames(spark: SparkSession, sf_dir: str, columns: list[str]) -> dict[str, DataFrame]:
-    """One frame per yearly "file"; each year lists the columns in another
-    order (rotated), as period files do."""
+    """One frame per yearly "file", and one of the rows outside all years; each
+    lists the columns in another order (rotated), as period files do."""
     li = table(spark, sf_dir, "lineitem")
     frames = {}
-    for i, y in enumerate(YEARS):
+    for i, y in enumerate((*YEARS, None)):
         rot = i % len(columns)
         order = columns[rot:] + columns[:rot]
-        frames[str(y)] = year_slice(li, y).select(*order)
+        rows = outside_years(li) if y is None else year_slice(li, y)
+        frames[OTHER if y is None else str(y)] = rows.select(*order)
     return frames
 
 

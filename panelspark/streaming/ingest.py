@@ -4,7 +4,7 @@ The batch path (``sources.scan.scan_periods``) reads every file of the
 manifest at once.  When period files keep landing (one per quarter), the same
 work runs as a file-source stream: Parquet resolves columns by *name*, so files
 with their columns in another order read correctly; provenance comes from
-each row's source file joined to the (small, broadcast) manifest; rows are
+each row's source file joined to the (small) manifest; rows are
 harmonised and appended to the typed dataset partitioned by period.  The
 checkpoint (in the shared folder) records which files were done, so each file
 is ingested exactly once; ``trigger(availableNow=True)`` processes what has
@@ -38,8 +38,10 @@ def period_stream(spark: SparkSession, landing_dir: str, column_map: Mapping[str
     The manifest's ``file_name`` is matched to each row's file name, or to
     ``source_col`` when the landing folder is partitioned by file (a
     ``source_col=<file>`` directory per period).  Rows of files that are not
-    in the manifest are dropped by the inner join (they are not period files);
-    ``sources.manifest.missing_files`` audits the reverse.
+    in the manifest stay, with a NULL period, year and quarter, so that
+    ``sources.manifest.row_audit`` counts them as unlisted;
+    ``sources.manifest.missing_files`` audits the reverse.  Spark broadcasts the
+    manifest by its measured size.
     """
     reader = spark.readStream.schema(schema or source_schema(column_map))
     if max_files_per_trigger:
@@ -48,8 +50,8 @@ def period_stream(spark: SparkSession, landing_dir: str, column_map: Mapping[str
     origin = F.col(source_col) if source_col else F.col("_metadata.file_name")
     named = raw.select(*[F.col(f"`{src}`").alias(dst) for dst, src in column_map.items()],
                        origin.alias("source_file"))
-    prov = F.broadcast(manifest.select(F.col("file_name").alias("source_file"), "period", "year", "quarter"))
-    return harmonise(named.join(prov, "source_file"), measures=measures, codes=codes)
+    prov = manifest.select(F.col("file_name").alias("source_file"), "period", "year", "quarter")
+    return harmonise(named.join(prov, "source_file", "left"), measures=measures, codes=codes)
 
 
 def ingest_available(stream: DataFrame, out_path: str, checkpoint: str,

@@ -12,8 +12,6 @@ from tests.conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-# ML sweeps are slow and rows-only; they run in tools/check_oracles.py.
-SLOW = {"model_comparison", "rf_sweep", "kmeans_sweep", "ridge_sweep"}
 
 
 def _norm(v):
@@ -48,7 +46,7 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
