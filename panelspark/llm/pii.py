@@ -7,10 +7,12 @@ always stay.  It is trained by maximum likelihood (forward-backward in numpy,
 Adagrad) in one task, from a small labelled table of at most about ``MAX_ROWS``
 texts with their spans.
 
-Decoding is Viterbi over numpy batches.  A word whose emission for "outside"
-beats every other label by more than two transitions can differ is outside on
-every best path, so sequences are cut there without changing the result, and the
-short rest is decoded together, step by step over all sequences.
+Decoding is Viterbi over numpy batches.  A word is outside on every best path if
+its emission for "outside" beats every other label by more than three transitions
+can differ and the next word can lose by beginning a span instead of going on
+with one: any other path gets better by that change.  Sequences are cut at such
+words without changing the result, and the short rest is decoded together, step
+by step over all sequences.
 
 Words are runs of anything but ASCII white space.  Offsets are code points, the
 end exclusive.  Cases: null or empty text: no spans.  Repeated rows are handled
@@ -243,8 +245,11 @@ def decode(words: Words, model: Model) -> np.ndarray:
     _, lead, same = np.unique(code, return_index=True, return_inverse=True)
     scores = model.emit[words.features[lead]].sum(axis=1)  # few distinct combinations
     moves = model.moves.astype(np.float64)
-    low = np.where(moves > -20, moves, 0.0).min()
-    certain = (scores[:, 0] - scores[:, 1:].max(axis=1) > 2 * (moves.max() - low) + 1e-3)[same]
+    low = moves[_forbidden() == 0].min()
+    on_over_begin = np.maximum(scores[:, 2::2] - scores[:, 1::2], 0).max(axis=1)[same]
+    after = np.zeros(n)
+    after[:-1] = np.where(words.row[1:] == words.row[:-1], on_over_begin[1:], 0.0)
+    certain = (scores[:, 0] - scores[:, 1:].max(axis=1))[same] > 3 * (moves.max() - low) + after + 1e-3
     open_at = np.flatnonzero(~certain)
     if not len(open_at):
         return labels

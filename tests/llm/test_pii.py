@@ -79,6 +79,25 @@ def test_viterbi_equals_naive():
         assert np.array_equal(pii.decode(words, model), naive_viterbi(words, model))
 
 
+def test_viterbi_cut_is_exact_where_going_on_pays():
+    """A word that alone would be outside begins a span, as the next word's "goes on" pays for both."""
+    rng = np.random.default_rng(5)
+    say = random.Random(5)
+    column = pa.array([" ".join(say.choices(["a", "b.", "1", "22", "x@y", "+1", "c"], k=say.randint(0, 40))) for _ in range(120)])
+    words = pii.words_of(column)
+    cut = 0
+    for lean, strong in ((3.0, 8.0), (6.0, 12.0), (10.0, 20.0)):
+        emit = rng.normal(size=(4 << pii.BITS, pii.LABELS)).astype(np.float32)
+        emit[:, 0] += lean
+        emit[:, 2::2] += np.where(rng.random((4 << pii.BITS, 4)) < 0.15, strong, 0.0).astype(np.float32)
+        model = pii.Model(emit, (rng.normal(size=(pii.LABELS + 1, pii.LABELS)) / 4 + pii._forbidden()).astype(np.float32))
+        want = naive_viterbi(words, model)
+        assert np.array_equal(pii.decode(words, model), want)
+        alone = emit[words.features].sum(axis=1)
+        cut += int(((want % 2 == 1) & (alone[:, 0] - alone[:, 1:].max(axis=1) > 2 * (model.moves.max() - model.moves[model.moves > -20].min()))).sum())
+    assert cut  # such words do stand in the data
+
+
 def test_query(spark):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = catalog.op5_personal_data(spark, SF).collect()
