@@ -4,8 +4,9 @@ The base patterns find e-mail addresses, IPv4 addresses, card numbers and phone
 numbers.  A linear-chain conditional random field over word-shape features adds
 spans that the patterns miss (another layout of a phone number, say); base spans
 always stay.  It is trained by maximum likelihood (forward-backward in numpy,
-Adagrad) in one task, from a small labelled table of at most about ``MAX_ROWS``
-texts with their spans.
+Adagrad) in one task, from a small labelled table: at most about ``MAX_ROWS``
+texts with their base spans, and for each text with spans ``COPIES`` more in which
+every span is written in another layout (``LAYOUTS``), which the patterns miss.
 
 Decoding is Viterbi over numpy batches.  A word is outside on every best path if
 its emission for "outside" beats every other label by more than three transitions
@@ -22,6 +23,7 @@ row by row.  An empty labelled table gives a model that adds nothing.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -35,10 +37,12 @@ from panelspark.llm import textkit as K
 KINDS = ("email", "ip", "card", "phone")
 #: Labelled texts that are learned, about (they are picked by hash).
 MAX_ROWS = 1_500
+#: Copies of a labelled text with its spans in other layouts.
+COPIES = 3
 #: Words in a training sequence.
 PIECE = 32
-#: Hash bits of a feature.
-BITS = 14
+#: Hash bits of a feature, and how many features a word has.
+BITS, FEATURES = 14, 7
 
 # The base patterns.
 _AT_MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -103,6 +107,8 @@ LABELS = 1 + 2 * len(KINDS)
 _CLASS = np.arange(256, dtype=np.uint8)
 _CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = ord("a")
 _CLASS[48:58] = ord("9")
+#: Bytes of a word that is a feature by itself.
+SHORT = 6
 _DIGIT_BUCKETS = np.array([1, 2, 3, 4, 5, 7, 9, 11, 13, 20])
 
 
@@ -137,12 +143,16 @@ def words_of(text: pa.Array) -> Words:
             valid[k] = 1 + all(p and len(p) < 4 and p.isascii() and p.isdigit() and int(p) < 256 for p in word.split("."))
         elif 13 <= len(only) <= 19:
             valid[k] = 3 + luhn(only)
+    short = np.where(end - start <= SHORT, K.span_hash(K.lower(buf), start, end), K.mix(n, 17))  # "at", "dot", "[at]"
     own = K.mix(shape + (n << np.uint64(8)) + valid, 7)
     edge = np.ones(len(start) + 1, bool)
     edge[1:-1] = row[1:] != row[:-1]
-    before = np.where(edge[:-1], np.uint64(1), np.roll(own, 1))
-    after = np.where(edge[1:], np.uint64(2), np.roll(own, -1))
-    kinds = [K.mix(shape, 11), K.mix(own, 12), K.mix(own ^ K.mix(before, 13), 14), K.mix(own ^ K.mix(after, 15), 16)]
+
+    def beside(what: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.where(edge[:-1], np.uint64(1), np.roll(what, 1)), np.where(edge[1:], np.uint64(2), np.roll(what, -1))
+    (before, after), (word_before, word_after) = beside(own), beside(short)
+    kinds = [K.mix(shape, 11), K.mix(own, 12), K.mix(own ^ K.mix(before, 13), 14), K.mix(own ^ K.mix(after, 15), 16),
+             K.mix(short, 18), K.mix(shape ^ K.mix(word_before, 19), 20), K.mix(shape ^ K.mix(word_after, 21), 22)]
     features = np.stack([(h >> np.uint64(64 - BITS)).astype(np.int32) + (k << BITS) for k, h in enumerate(kinds)], axis=1)
     return Words(start, end, row, off, features, buf)
 
@@ -156,7 +166,7 @@ class Model:
 
     @staticmethod
     def empty() -> Model:
-        emit = np.zeros((4 << BITS, LABELS), np.float32)
+        emit = np.zeros((FEATURES << BITS, LABELS), np.float32)
         moves = np.zeros((LABELS + 1, LABELS), np.float32)
         moves[:, 0] = 1.0
         return Model(emit, moves)
@@ -226,7 +236,7 @@ def fit(features: np.ndarray, labels: np.ndarray, length: np.ndarray, rounds: in
     made = Model.empty()
     made.emit[places] = emit
     # A feature never seen in training says "outside".
-    unseen = np.ones(4 << BITS, bool)
+    unseen = np.ones(FEATURES << BITS, bool)
     unseen[places] = False
     made.emit[unseen, 0] = 1.0
     made.moves = (moves + ban).astype(np.float32)
@@ -355,14 +365,14 @@ def _train_mapper(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             special = sums[words.end] > sums[words.start]
             first = np.searchsorted(words.row, np.arange(len(texts) + 1)).tolist()
             for lo, hi in zip(first[:-1], first[1:]):
-                for a in range(lo, hi, PIECE):  # pieces with a digit or sign, and the text's first one
+                for a in range(lo, hi, PIECE):  # pieces with a digit, sign or label, and the text's first one
                     b = min(a + PIECE, hi)
-                    if a == lo or special[a:b].any():
+                    if a == lo or special[a:b].any() or truth[a:b].any():
                         features.append(words.features[a:b])
                         labels.append(truth[a:b])
                         sizes.append(b - a)
     n = len(sizes)
-    x, y = np.zeros((n, PIECE, 4), np.int64), np.zeros((n, PIECE), np.int64)
+    x, y = np.zeros((n, PIECE, FEATURES), np.int64), np.zeros((n, PIECE), np.int64)
     for k in range(n):
         x[k, :sizes[k]], y[k, :sizes[k]] = features[k], labels[k]
     model = fit(x, y, np.array(sizes, np.int64))
@@ -379,17 +389,71 @@ def train(labelled: DataFrame) -> Model:
                  np.frombuffer(rows[0]["moves"], np.float32).reshape(-1, LABELS))
 
 
+def _mail(by_at: str, by_dot: str):
+    return lambda text: text.replace("@", by_at).replace(".", by_dot)
+
+
+def _parts(by: str):
+    return lambda text: by.join(text.split("."))
+
+
+def _fours(by: str):
+    def write(text: str) -> str:
+        digits = _NOT_DIGIT.sub("", text)
+        return by.join(digits[k:k + 4] for k in range(0, len(digits), 4))
+    return write
+
+
+def _phone(form: str):
+    def write(text: str) -> str:
+        digits = _NOT_DIGIT.sub("", text)
+        return form.format(land=digits[:-10], area=digits[-10:-7], mid=digits[-7:-4], last=digits[-4:])
+    return write
+
+
+#: Other layouts of a base span, by kind, in the order of ``KINDS``.
+LAYOUTS = (
+    (_mail(" at ", " dot "), _mail(" [at] ", " [dot] "), _mail("[at]", "[dot]"), _mail("(at)", "(dot)"), _mail(" (at) ", " (dot) "),
+     _mail(" @ ", "."), _mail(" AT ", " DOT "), _mail(" at ", ".")),
+    (_parts("[.]"), _parts(" . "), _parts("(.)"), _parts(" dot ")),
+    (_fours("."), _fours("/"), _fours(" - "), _fours("_"), _fours("  ")),
+    (_phone("({area}) {mid}-{last}"), _phone("{area}-{mid}-{last}"), _phone("{area}.{mid}.{last}"), _phone("{area} {mid} {last}"),
+     _phone("00{land} {area} {mid} {last}"), _phone("{area}/{mid}-{last}"), _phone("tel:{area}-{mid}-{last}")),
+)
+
+
+def relaid(text: str, spans: list[Span], turn: int) -> tuple[str, list[Span]]:
+    """``text`` with its spans in other layouts, and where they stand then; ``turn``
+    picks the layouts.  Of spans that overlap the leftmost is taken."""
+    out, found, at, size = [], [], 0, 0
+    for kind, a, b in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if a < at:
+            continue
+        layouts = LAYOUTS[kind]
+        new = layouts[(turn * 5 + zlib.crc32(text[a:b].encode())) % len(layouts)](text[a:b])
+        out += [text[at:a], new]
+        size += a - at
+        found.append((kind, size, size + len(new)))
+        size, at = size + len(new), b
+    return "".join([*out, text[at:]]), sorted(found)
+
+
 def _label_mapper(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in K.chunks(batch, "text"):
-            texts = part.column("text").to_pylist()
-            yield pa.RecordBatch.from_arrays([part.column("text"), pa.array([as_text(base_spans(t)) for t in texts], pa.string())],
-                                             names=["text", "spans"])
+            texts, spans = [], []
+            for text in part.column("text").to_pylist():
+                base = base_spans(text)
+                for new, where in [(text, base), *(relaid(text, base, k) for k in range(COPIES) if base)]:
+                    texts.append(new)
+                    spans.append(as_text(where))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(spans, pa.string())], names=["text", "spans"])
 
 
 def labelled_by_patterns(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """A small labelled table: about ``max_rows`` of the texts with a digit or an
-    ``@``, picked by hash, with the base spans as labels."""
+    ``@``, picked by hash, with the base spans as labels, and ``COPIES`` of each
+    that has spans with these in other layouts."""
     telling = docs.where(docs["text"].rlike("[0-9@]")).select(docs["text"])
     n = telling.count()
     picked = telling.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(min(1.0, max_rows / max(n, 1)) * (1 << 30)))
