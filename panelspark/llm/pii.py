@@ -293,10 +293,13 @@ def decode(words: Words, model: Model) -> np.ndarray:
 
 
 _TRIM = b".,;:!?\"'#*$%&|<>"
+#: What an added span of a kind must have to be one: at least so many digits, at most so many words.
+MIN_DIGITS, MAX_WORDS = (0, 4, 12, 7), 16
 
 
 def added_spans(words: Words, labels: np.ndarray) -> dict[int, list[Span]]:
-    """Byte spans of the labelled runs by row, trimmed of punctuation around them."""
+    """Byte spans of the labelled runs by row, trimmed of punctuation around them.
+    A run with fewer digits or more words than its kind has is none."""
     out: dict[int, list[Span]] = {}
     at = np.flatnonzero(labels).tolist()
     k = 0
@@ -310,7 +313,7 @@ def added_spans(words: Words, labels: np.ndarray) -> dict[int, list[Span]]:
         a, b = int(words.start[i]), int(words.end[j])
         raw = words.buf[a:b].tobytes()
         a, b = a + len(raw) - len(raw.lstrip(_TRIM)), b - (len(raw) - len(raw.rstrip(_TRIM)))
-        if a < b:
+        if a < b and j - i < MAX_WORDS and sum(48 <= c < 58 for c in raw) >= MIN_DIGITS[kind]:
             base = int(words.off[words.row[i]])
             out.setdefault(int(words.row[i]), []).append((kind, a - base, b - base))
     return out
