@@ -38,7 +38,7 @@ def run(spark, sf_dir: str, quick: bool = False) -> dict:
 
     # 1 quality: provenance vs the data's own quarter, missing values, funnel, keys
     show("period x ship quarter", audit.crosstab_counts(panel, ["period", "ship_quarter"]).orderBy("period", "ship_quarter"), 8)
-    show("missing values", audit.missing_audit(panel, ["dirty", "months", "l_quantity", "priority_code"]))
+    show("missing values", audit.missing_audit(panel, ["dirty", "parcels", "l_quantity", "priority_code"]))
     show("eligibility funnel", funnel.funnel(panel, rules).orderBy("step_no"))
     eligible = labels.label_codes(funnel.apply_rules(panel, rules), DICTS)
     dev = eligible.where(F.col("year") < S.HOLDOUT_YEAR)
@@ -47,32 +47,32 @@ def run(spark, sf_dir: str, quick: bool = False) -> dict:
     show("distinct versions of repeated keys", audit.version_histogram(versions))
 
     # 2 descriptive statistics
-    show("numeric summary", stats.numeric_summary(dev, ["l_extendedprice", "l_quantity", "tenure", "hours"]))
+    show("numeric summary", stats.numeric_summary(dev, ["l_extendedprice", "l_quantity", "charge", "days_to_ship"]))
     show("median price by priority", stats.group_median(dev, "l_extendedprice", ["priority_code", "priority_code_label"],
                                                         group_bound=len(S.PRIORITY_LABELS) + 1))
     show("median price by period", stats.group_median(dev, "l_extendedprice", ["period"], group_bound=len(S.YEARS)))
     show("histogram (first bins)", stats.histogram(dev, "l_extendedprice", 60).orderBy("bin"), 5)
 
     # 3 correlation
-    corr = stats.correlation_long(dev, ["l_extendedprice", "l_quantity", "tenure", "hours"])
+    corr = stats.correlation_long(dev, ["l_extendedprice", "l_quantity", "charge", "days_to_ship"])
     show("strongest association with price", stats.top_association(corr, "l_extendedprice"))
 
     # 4 segmentation
-    feats = segment.scaler_pipeline(["l_quantity", "tenure", "hours"]).fit(dev).transform(dev)
+    feats = segment.scaler_pipeline(["l_quantity", "charge", "days_to_ship"]).fit(dev).transform(dev)
     sweep, models = segment.kmeans_sweep(feats, "features", ks=(2, 3) if quick else (2, 3, 4, 5), keys=KEY)
     show("k sweep", sweep.orderBy("k"))
     best_k = sweep.where("chosen").first()["k"]
     scored = segment.materialize(
         segment.assign_clusters(models[best_k], feats),
-        ["cluster", "l_quantity", "tenure", "hours", "l_extendedprice", "l_returnflag_label", "priority_code_label"])
-    profile = segment.cluster_profile(scored, "cluster", ["l_quantity", "tenure", "hours"], "l_extendedprice",
+        ["cluster", "l_quantity", "charge", "days_to_ship", "l_extendedprice", "l_returnflag_label", "priority_code_label"])
+    profile = segment.cluster_profile(scored, "cluster", ["l_quantity", "charge", "days_to_ship"], "l_extendedprice",
                                       {"l_returnflag_label": "flag_mode", "priority_code_label": "priority_mode"},
                                       cluster_bound=best_k)
-    show("cluster profile", segment.describe_clusters(profile, scored, ["l_quantity", "tenure", "hours"],
+    show("cluster profile", segment.describe_clusters(profile, scored, ["l_quantity", "charge", "days_to_ship"],
                                                       "priority_mode").orderBy("cluster"))
 
     # 5-6 regression: one split for both families, feature stages fitted on training rows only
-    spec = regress.FeatureSpec(("l_quantity", "tenure", "hours"), ("l_returnflag", "priority_code"), "l_extendedprice")
+    spec = regress.FeatureSpec(("l_quantity", "charge", "days_to_ship"), ("l_returnflag", "priority_code"), "l_extendedprice")
     train, valid = regress.split_frames(dev, KEY)
     ridge = regress.ridge_sweep(train, valid, spec, reg_params=(0.0, 10.0) if quick else (0.0, 0.1, 1.0, 10.0), keys=KEY)
     show("ridge sweep", ridge.table.orderBy("reg_param"))

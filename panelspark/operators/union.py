@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def with_provenance(df: DataFrame, provenance: Mapping[str, object]) -> DataFrame:
-    """Literal lineage columns (file name, period, year, quarter): the period
+    """Literal lineage columns (file name, period, ...): the period
     comes from the file, never from the data's own fields."""
     return df.withColumns({k: F.lit(v) for k, v in provenance.items()})
 

@@ -89,7 +89,7 @@ LISTED_YEAR_SQL = f"CAST(CASE WHEN year(l_shipdate) IN ({YEARS_SQL}) THEN year(l
 def _union(spark, sf_dir):
     files = S.period_files()
     frames = S.period_frames(spark, sf_dir, UNION_COLUMNS)
-    prov = {f.period: {"source_file": f.file_name, "period": f.period, "year": f.year} for f in files}
+    prov = {f.period: f.provenance() for f in files}
     prov[S.OTHER] = {"source_file": f"lineitem_{S.OTHER}", "period": S.OTHER, "year": None}
     return union_periods(frames, prov, columns=UNION_COLUMNS)
 
@@ -102,7 +102,7 @@ def q_union_periods(spark, sf_dir):
 
 
 def _manifest_values_sql() -> str:
-    rows = ", ".join(f"('{f.period}', '{f.file_name}', CAST({f.expected_rows} AS BIGINT))"
+    rows = ", ".join(f"('{f.period}', '{f.file_name}', CAST({f.rows} AS BIGINT))"
                      for f in S.period_files())
     return f"(VALUES {rows}) m(period, file_name, expected_rows)"
 
@@ -154,8 +154,8 @@ def q_csv_scan_periods(spark, sf_dir):
     landing = shared_dir(spark, "csv-landing", unique=True)
     dev, hold = _dev_holdout(spark, sf_dir)
     cols = list(CSV_MAP.values())
-    files = [M.PeriodFile("development", 0, 0, "lineitem_development.csv"),
-             M.PeriodFile("holdout", S.HOLDOUT_YEAR, 0, "lineitem_holdout.csv")]
+    files = [M.Listing("lineitem_development.csv", {"period": "development"}),
+             M.Listing("lineitem_holdout.csv", {"period": "holdout"})]
     for frame, f, order in ((dev, files[0], cols), (hold, files[1], cols[::-1])):
         store.write_csv(frame.select(*order), f"{landing}/{f.file_name}")
     data = scan.scan_periods(spark, landing, files, CSV_MAP, fmt="csv")
@@ -188,7 +188,7 @@ def q_manifest_row_audit(spark, sf_dir):
     landing = shared_dir(spark, "audit-landing", unique=True)
     li = S.table(spark, sf_dir, "lineitem")
     for f in files:
-        store.write_csv(S.year_slice(li, f.year).select(*_audit_columns(f.year)), f"{landing}/{f.file_name}")
+        store.write_csv(S.year_slice(li, f.attributes["year"]).select(*_audit_columns(f.attributes["year"])), f"{landing}/{f.file_name}")
     widths = scan.column_counts(spark, landing, files)
     audit_df = M.row_audit(S.lines(spark, sf_dir).select("period"), M.manifest_frame(spark, files), widths)
     return audit_df.select("period", "file_name", "expected_rows", "rows", "status", "ok", "columns")
@@ -280,13 +280,13 @@ def q_missing_audit(spark, sf_dir):
 
 def _eligible_cols(df):
     return df.select("l_orderkey", "l_linenumber", "l_partkey", "period", "l_extendedprice",
-                     "l_quantity", "months", r6("tenure").alias("tenure"), r6("hours").alias("hours"),
+                     "l_quantity", "parcels", r6("charge").alias("charge"), "days_to_ship",
                      "l_returnflag", "l_returnflag_label", "priority_code", "priority_code_label")
 
 
 @query("eligible_rows", sql=(
-    f"SELECT l_orderkey, l_linenumber, l_partkey, period, l_extendedprice, l_quantity, months, "
-    f"round(tenure, 6) AS tenure, round(hours, 6) AS hours, flag_code AS l_returnflag, "
+    f"SELECT l_orderkey, l_linenumber, l_partkey, period, l_extendedprice, l_quantity, parcels, "
+    f"round(charge, 6) AS charge, days_to_ship, flag_code AS l_returnflag, "
     f"flag_label AS l_returnflag_label, prio_code AS priority_code, prio_label AS priority_code_label "
     f"FROM ({LABELLED_ELIGIBLE_SQL}) x"))
 def q_eligible_rows(spark, sf_dir):

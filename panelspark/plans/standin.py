@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from panelspark.functions.columns import to_double
 from panelspark.operators.funnel import Rule
 from panelspark.functions.columns import is_finite, is_integer_between
-from panelspark.sources.manifest import PeriodFile
+from panelspark.sources.manifest import Listing
 
 # --- fixed values of the stand-in -------------------------------------------
 YEARS = (1995, 1996, 1997, 1998, 1999, 2000, 2001)
@@ -91,73 +91,61 @@ LINES_SQL = (f"SELECT *, CAST(year(l_shipdate) AS INTEGER) AS year, "
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lines joined to the order's priority code (a shuffle join on the
-    order key; only three order columns are read)."""
+    order key; only four order columns are read)."""
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("priority_code"), "o_orderstatus")
+        "o_orderkey", F.substring("o_orderpriority", 1, 1).alias("priority_code"), "o_orderstatus", "o_orderdate")
     return lines(spark, sf_dir).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 
 
-RECORDS_SQL = (f"SELECT l.*, substr(o.o_orderpriority, 1, 1) AS priority_code, o.o_orderstatus "
+RECORDS_SQL = (f"SELECT l.*, substr(o.o_orderpriority, 1, 1) AS priority_code, o.o_orderstatus, o.o_orderdate "
                f"FROM ({LINES_SQL}) l JOIN orders o ON l.l_orderkey = o.o_orderkey")
 
 
-def with_panel_measures(df: DataFrame) -> DataFrame:
-    """Reference-shaped measures: years, months (from the dirty text), tenure,
-    hours, age."""
-    months = to_double("dirty")
-    years = F.col("l_discount") * F.lit(100)
+def with_shipping_measures(df: DataFrame) -> DataFrame:
+    """``charge`` (what the line costs with discount and tax), ``parcels`` (a
+    number read from the dirty text) and ``days_to_ship`` after the order."""
     return df.withColumns({
-        "years": years,
-        "months": months,
-        "tenure": years + months / F.lit(12.0),
-        "hours": F.col("l_tax") * F.lit(1000),
+        "charge": F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")),
+        "parcels": to_double("dirty"),
+        "days_to_ship": F.date_diff("l_shipdate", "o_orderdate"),
     })
 
 
-MEASURES_SQL = ("l_discount * 100 AS years, TRY_CAST(dirty AS DOUBLE) AS months, "
-                "l_discount * 100 + TRY_CAST(dirty AS DOUBLE) / 12.0 AS tenure, "
-                "l_tax * 1000 AS hours")
+MEASURES_SQL = ("l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge, "
+                "TRY_CAST(dirty AS DOUBLE) AS parcels, "
+                "CAST(date_diff('day', o_orderdate, l_shipdate) AS INTEGER) AS days_to_ship")
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_panel_measures(records(spark, sf_dir))
+    return with_shipping_measures(records(spark, sf_dir))
 
 
 PANEL_SQL = f"SELECT *, {MEASURES_SQL} FROM ({RECORDS_SQL}) r"
 
-
-def _fin(c: str) -> Column:
-    return is_finite(c)
-
-
-def _fin_sql(c: str) -> str:
-    return f"({c} IS NOT NULL AND isfinite({c}))"
+# Lines whose shipping can be studied: each step's name and its condition for the oracle.
+ELIGIBILITY_RULES_SQL = [
+    ("not shipped before its order", "l_shipdate >= o_orderdate"),
+    ("known return flag", "l_returnflag IN ('A', 'N', 'R')"),
+    ("charge is a positive number", "isfinite(charge) AND charge > 0"),
+    ("discount below the whole price", "l_discount < 1"),
+    ("whole parcels, one to twelve", "parcels BETWEEN 1 AND 12 AND parcels = floor(parcels)"),
+    ("a unit or more in each parcel", "parcels <= l_quantity"),
+    ("line still open", "l_linestatus = 'O'"),
+]
 
 
 def eligibility_rules() -> list[Rule]:
-    """The eight ordered rules (Columns need an active session, hence a function)."""
-    return [
-    Rule("quantity finite and >= 2", _fin("l_quantity") & (F.col("l_quantity") >= 2)),
-    Rule("open line", F.col("l_linestatus") == "O"),
-    Rule("priority 1-4", F.col("priority_code").isin("1", "2", "3", "4")),
-    Rule("price finite and > 0", _fin("l_extendedprice") & (F.col("l_extendedprice") > 0)),
-    Rule("years finite and >= 0", _fin("years") & (F.col("years") >= 0)),
-    Rule("months integer 0-11", is_integer_between("months", 0, 11)),
-    Rule("tenure <= quantity", _fin("tenure") & (F.col("tenure") <= F.col("l_quantity"))),
-    Rule("hours in (0, 168]", _fin("hours") & (F.col("hours") > 0) & (F.col("hours") <= 168)),
+    """The same steps as columns (these need an active session, hence a function)."""
+    conditions = [
+        F.col("l_shipdate") >= F.col("o_orderdate"),
+        F.col("l_returnflag").isin(*RETURNFLAG_LABELS),
+        is_finite("charge") & (F.col("charge") > 0),
+        F.col("l_discount") < 1,
+        is_integer_between("parcels", 1, 12),
+        F.col("parcels") <= F.col("l_quantity"),
+        F.col("l_linestatus") == "O",
     ]
-
-ELIGIBILITY_RULES_SQL = [
-    ("quantity finite and >= 2", f"{_fin_sql('l_quantity')} AND l_quantity >= 2"),
-    ("open line", "l_linestatus = 'O'"),
-    ("priority 1-4", "priority_code IN ('1', '2', '3', '4')"),
-    ("price finite and > 0", f"{_fin_sql('l_extendedprice')} AND l_extendedprice > 0"),
-    ("years finite and >= 0", f"{_fin_sql('years')} AND years >= 0"),
-    ("months integer 0-11", f"{_fin_sql('months')} AND months >= 0 AND months <= 11 "
-                            f"AND months = floor(months)"),
-    ("tenure <= quantity", f"{_fin_sql('tenure')} AND tenure <= l_quantity"),
-    ("hours in (0, 168]", f"{_fin_sql('hours')} AND hours > 0 AND hours <= 168"),
-]
+    return [Rule(name, condition) for (name, _), condition in zip(ELIGIBILITY_RULES_SQL, conditions, strict=True)]
 
 
 def eligible_where_sql() -> str:
@@ -174,9 +162,9 @@ def label_sql(column: str, labels: dict[str, str], unknown_code: str, unknown_la
 
 # ---- period files -------------------------------------------------------------
 
-def period_files(expected: dict[int, int] | None = None) -> list[PeriodFile]:
+def period_files(expected: dict[int, int] | None = None) -> list[Listing]:
     expected = EXPECTED_ROWS_SF001 if expected is None else expected
-    return [PeriodFile(str(y), y, 0, f"lineitem_{y}", expected.get(y)) for y in YEARS]
+    return [Listing(f"lineitem_{y}", {"period": str(y), "year": y}, expected.get(y)) for y in YEARS]
 
 
 def year_range(df: DataFrame, first: int, last: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelspark.sources.manifest import PeriodFile
+from panelspark.sources.manifest import Listing
 from panelspark.operators.union import union_periods
 
 # CSV options for files written by spreadsheet tools: a quote inside a
@@ -87,7 +87,7 @@ def scan_by_name(spark: SparkSession, path: str, column_map: Mapping[str, str],
     return select_by_name(read_table(spark, path, fmt, options), column_map, path)
 
 
-def scan_periods(spark: SparkSession, landing_dir: str, files: Sequence[PeriodFile],
+def scan_periods(spark: SparkSession, landing_dir: str, files: Sequence[Listing],
                  column_map: Mapping[str, str], fmt: str = "csv",
                  options: Mapping[str, str] | None = None) -> DataFrame:
     """Every manifest file scanned by name, with provenance, stacked by name."""
@@ -96,7 +96,7 @@ def scan_periods(spark: SparkSession, landing_dir: str, files: Sequence[PeriodFi
     return union_periods(frames, {f.period: f.provenance() for f in files})
 
 
-def column_counts(spark: SparkSession, landing_dir: str, files: Sequence[PeriodFile], fmt: str = "csv",
+def column_counts(spark: SparkSession, landing_dir: str, files: Sequence[Listing], fmt: str = "csv",
                   options: Mapping[str, str] | None = None) -> DataFrame:
     """``period, columns, distinct_columns`` of every manifest file, from its own
     header, before any projection (one small job a file; the manifest bounds them)."""

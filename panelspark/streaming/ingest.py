@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from panelspark.operators.harmonise import harmonise
+from panelspark.sources.manifest import partition_attributes
 
 
 def source_schema(column_map: Mapping[str, str]) -> T.StructType:
@@ -38,7 +39,7 @@ def period_stream(spark: SparkSession, landing_dir: str, column_map: Mapping[str
     The manifest's ``file_name`` is matched to each row's file name, or to
     ``source_col`` when the landing folder is partitioned by file (a
     ``source_col=<file>`` directory per period).  Rows of files that are not
-    in the manifest stay, with a NULL period, year and quarter, so that
+    in the manifest stay, with NULL attributes, so that
     ``sources.manifest.row_audit`` counts them as unlisted;
     ``sources.manifest.missing_files`` audits the reverse.  Spark broadcasts the
     manifest by its measured size.
@@ -50,7 +51,7 @@ def period_stream(spark: SparkSession, landing_dir: str, column_map: Mapping[str
     origin = F.col(source_col) if source_col else F.col("_metadata.file_name")
     named = raw.select(*[F.col(f"`{src}`").alias(dst) for dst, src in column_map.items()],
                        origin.alias("source_file"))
-    prov = manifest.select(F.col("file_name").alias("source_file"), "period", "year", "quarter")
+    prov = manifest.select(F.col("file_name").alias("source_file"), *partition_attributes(manifest))
     return harmonise(named.join(prov, "source_file", "left"), measures=measures, codes=codes)
 
 

@@ -41,7 +41,7 @@ def test_required_columns(spark, tmp_dir):
 def test_scan_periods_union_and_audit(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "t1.csv"), "ID,X,EXTRA\n1, 5 ,z\n2,,z\n")
     _write(os.path.join(tmp_dir, "t2.csv"), "X,ID\n7,3\n")
-    files = [M.PeriodFile("2025T1", 2025, 1, "t1.csv", 2), M.PeriodFile("2025T2", 2025, 2, "t2.csv", 2)]
+    files = [M.Listing("t1.csv", {"period": "2025T1", "quarter": 1}, 2), M.Listing("t2.csv", {"period": "2025T2", "quarter": 2}, 2)]
     data = scan.scan_periods(spark, tmp_dir, files, {"id": "ID", "x": "X"})
     typed = harmonise(data, measures=["x"], codes=["id"])
     got = sorted((r["period"], r["id"], r["x"]) for r in typed.collect())
@@ -52,7 +52,7 @@ def test_scan_periods_union_and_audit(spark, tmp_dir):
     with pytest.raises(ValueError):
         M.assert_row_counts(M.row_audit(typed, man))
     listing = M.file_listing(spark, os.path.join(tmp_dir, "*.csv"))
-    files.append(M.PeriodFile("2026T1", 2026, 1, "t3.csv", 1))
+    files.append(M.Listing("t3.csv", {"period": "2026T1", "quarter": 1}, 1))
     missing = [r["file_name"] for r in M.missing_files(M.manifest_frame(spark, files), listing).collect()]
     assert missing == ["t3.csv"]
     with pytest.raises(FileNotFoundError, match="t3.csv"):
@@ -90,8 +90,8 @@ def test_write_counted_and_shared_dir(spark):
 
 
 def test_audit_accounts_for_every_row(spark):
-    files = [M.PeriodFile("1", 1, 0, "a", 2), M.PeriodFile("2", 2, 0, "b", 5), M.PeriodFile("3", 3, 0, "c", 1),
-             M.PeriodFile("4", 4, 0, "d", None)]
+    files = [M.Listing("a", {"period": "1", "quarter": 0}, 2), M.Listing("b", {"period": "2", "quarter": 0}, 5), M.Listing("c", {"period": "3", "quarter": 0}, 1),
+             M.Listing("d", {"period": "4", "quarter": 0}, None)]
     loaded = spark.createDataFrame([(p,) for p in ["1", "1", "2", "9", "9", None, None, None, "4"]], "period string")
     audit = M.row_audit(loaded, M.manifest_frame(spark, files))
     got = {r["period"]: (r["file_name"], r["expected_rows"], r["rows"], r["status"], r["ok"]) for r in audit.collect()}
@@ -104,7 +104,7 @@ def test_audit_accounts_for_every_row(spark):
 
 
 def test_audit_of_empty_sides(spark):
-    files = [M.PeriodFile("1", 1, 0, "a", 0)]
+    files = [M.Listing("a", {"period": "1", "quarter": 0}, 0)]
     none = spark.createDataFrame([], "period string")
     assert [tuple(r) for r in M.row_audit(none, M.manifest_frame(spark, files)).collect()] == [("1", "a", 0, 0, "matched", True)]
     assert M.row_audit(none, M.manifest_frame(spark, [])).collect() == []
@@ -122,9 +122,18 @@ def test_repeated_header_takes_the_first(spark, tmp_dir):
 def test_column_counts_are_each_files_own(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "t1.csv"), "ID,X,EXTRA\n1,5,z\n")
     _write(os.path.join(tmp_dir, "t2.csv"), "X,ID,X,Y,Z\n7,3,1,1,1\n")
-    files = [M.PeriodFile("1", 1, 1, "t1.csv"), M.PeriodFile("2", 2, 1, "t2.csv")]
+    files = [M.Listing("t1.csv", {"period": "1", "quarter": 1}), M.Listing("t2.csv", {"period": "2", "quarter": 1})]
     counts = scan.column_counts(spark, tmp_dir, files)
     assert sorted(tuple(r) for r in counts.collect()) == [("1", 3, 3), ("2", 5, 4)]
     data = scan.scan_periods(spark, tmp_dir, files, {"id": "ID", "x": "X"})
     assert sorted((r["period"], r["id"], r["x"]) for r in data.collect()) == [("1", "1", "5"), ("2", "3", "7")]
     assert {r["columns"] for r in M.row_audit(data, M.manifest_frame(spark, files), counts).collect()} == {3, 5}
+
+
+def test_manifest_takes_any_attributes(spark):
+    files = [M.Listing("a", {"period": "1", "region": "north"}, 3), M.Listing("b", {"period": "2", "year": 2001, "region": None})]
+    man = M.manifest_frame(spark, files)
+    assert man.dtypes == [("file_name", "string"), ("expected_rows", "bigint"), ("period", "string"), ("region", "string"), ("year", "int")]
+    assert [tuple(r) for r in man.orderBy("file_name").collect()] == [("a", 3, "1", "north", None), ("b", None, "2", None, 2001)]
+    assert M.partition_attributes(man) == ["period", "region", "year"]
+    assert M.manifest_frame(spark, []).columns == ["file_name", "expected_rows", "period"]

@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from panelspark.session import shared_dir
-from panelspark.sources.manifest import PeriodFile, manifest_frame
+from panelspark.sources.manifest import Listing, manifest_frame
 from panelspark.streaming.ingest import ingest_available, period_stream
 
 COLUMN_MAP = {"id": "ID", "pay": "PAY", "code": "CODE"}
@@ -22,7 +22,7 @@ def test_stream_ingests_each_file_once_by_name(spark, tmp_path):
     os.makedirs(landing)
     out = shared_dir(spark, "stream-out", unique=True)
     ckpt = shared_dir(spark, "stream-ckpt", unique=True)
-    files = [PeriodFile("2025T1", 2025, 1, "p1.parquet", 2), PeriodFile("2025T2", 2025, 2, "p2.parquet", 1)]
+    files = [Listing("p1.parquet", {"period": "2025T1", "quarter": 1}, 2), Listing("p2.parquet", {"period": "2025T2", "quarter": 2}, 1)]
     man = manifest_frame(spark, files)
     _land(spark, landing, "p1.parquet", [("1", " 100 ", "a", "x"), ("2", "n/a", " ", "x")],
           ["ID", "PAY", "CODE", "EXTRA"])
