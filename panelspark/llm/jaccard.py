@@ -1,18 +1,25 @@
-"""Operator 1: n-gram Jaccard join by MinHash with fixed banding.
+"""Operator 1: n-gram Jaccard join by a MinHash LSH forest.
 
 Documents are sets of word shingles (``width`` consecutive words, A-Z
 lower-cased; a text of fewer words is one shingle of all of them).  Equal sets
-are one *class* before anything else, so copies cost one member.  Each class has
-``trees`` bands of MinHash values, each hashed to one number.  Two classes are
-candidates when some band of theirs is equal.  The band's length k is the longest
-up to ``depth`` whose recall at the threshold similarity, ``1 - (1 - s ** k) **
-trees``, reaches the target: a number from constants, not found by matching.
-
-Candidates are verified exactly: a family (connected candidates) is cut into
-blocks of bounded size, and every pair of its blocks is one group, in which the
-shared shingles of all pairs are counted by a matrix product.  A group returns
-one row per member (how many documents it is linked to, and the smallest member
-it is connected with), never its pairs.  Components of these give the groups.
+are one *class* before anything else, so copies cost one member.  Each class is
+signed with ``DEPTH`` MinHash values for each of ``TREES`` tries; a node of a trie
+is a prefix of these values, and classes under one node match.
+
+Prefixes are first matched at full depth, and the matches verified.  A link of
+similarity s shares a prefix of length k with probability ``1 - (1 - s ** k) **
+TREES``; the prefixes are shortened to the longest length whose recall of the
+least similar link verified so far reaches ``RECALL`` (of the threshold, while no
+link is known), and matched again, until that length no longer shrinks.  It never
+needs to fall below the length that reaches the target at the threshold.
+
+Matches are verified exactly on all shingles.  Connected matches are a family.
+Its members, sorted by their prefixes, are cut into blocks of bounded size; blocks
+are compared where some node has members in both, and the shared shingles of all
+their pairs are counted by a matrix product.  A group returns one row per member
+(how many documents it is linked to, and the smallest member it is connected
+with), never its pairs.  A family of one block that did not grow between two
+depths is not compared again.  Components of the links give the groups.
 
 Cases: a null or empty text has no shingle, no link, and is its own group.
 Several rows of one doc_id and null doc_ids are rows like others; ``class_id``
@@ -27,7 +34,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm import textkit as K
@@ -76,7 +84,9 @@ def shingles(text: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return r[fresh], h[fresh]
 
 
-def _sign_mapper(width: int, prefix: int):
+def _sign_mapper(width: int, trees: int):
+    values = trees * DEPTH
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, text in K.row_chunks(batches):
             r, h = shingles(text, width)
@@ -87,27 +97,44 @@ def _sign_mapper(width: int, prefix: int):
             keys: list[bytes | None] = [None] * n
             for k in full.tolist():
                 keys[k] = hashlib.blake2b(h[bounds[k]:bounds[k + 1]].tobytes(), digest_size=16).digest()
-            tries = np.zeros((n, TREES), np.uint64)
+            least = np.zeros((len(full), values), np.int32)
             if len(full):
-                for tree in range(TREES):
-                    label = np.full(len(full), tree, np.uint64)
-                    for p in range(tree * DEPTH, tree * DEPTH + prefix):
-                        least = np.minimum.reduceat((h * _A[p] + _B[p]) >> np.uint64(20), bounds[full])
-                        label = K.mix(label ^ least, p)
-                    tries[full, tree] = label
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, TREES, 0))]), pa.int32()),
-                                             pa.array(tries[full].ravel().view(np.int64)))
+                for p in range(values):
+                    low = np.minimum.reduceat((h * _A[p] + _B[p]) >> np.uint64(20), bounds[full])
+                    least[:, p] = (K.mix(low, p) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, values, 0))]), pa.int32()),
+                                             pa.array(least.ravel()))
             yield pa.RecordBatch.from_arrays([row, pa.array(keys, pa.binary()), pa.array(size, pa.int64()), lists],
-                                             names=["row", "key", "size", "tries"])
+                                             names=["row", "key", "size", "signature"])
     return run
 
 
-def sign(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, columns: tuple[str, ...] = ()) -> DataFrame:
+def sign(rows: DataFrame, width: int = WIDTH, trees: int = TREES) -> DataFrame:
     """``row``, ``key`` (digest of the shingle set, null without words), ``size``
-    and ``tries`` (hashes of the prefixes in each trie)."""
-    rows = K.as_rows(docs, *columns)
-    return rows.mapInArrow(_sign_mapper(width, prefix_length(threshold)),
-                           f"row {K.row_type(rows)}, key binary, size long, tries array<long>")
+    and ``signature`` (``DEPTH`` MinHash values for each trie, one trie after another)."""
+    return rows.mapInArrow(_sign_mapper(width, trees), f"row {K.row_type(rows)}, key binary, size long, signature array<int>")
+
+
+def nodes(depth: int) -> Column:
+    """The node of every trie that holds a signature at ``depth``: a hash of the
+    trie's number and its first ``depth`` values."""
+    return F.array(*[F.xxhash64(F.lit(t), F.slice("signature", t * DEPTH + 1, depth)) for t in range(TREES)])
+
+
+def _block_mapper(most_members: int, most_shingles: int):
+    """Blocks of sorted members: never of two families, bounded in members and shingles."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, root, members, size = TaskContext.get().partitionId() << 40, None, 0, 0
+        for batch in batches:
+            found = []
+            for family, n in zip(batch.column("root").to_pylist(), batch.column("size").to_pylist()):
+                if family != root or members == most_members or size + n > most_shingles:
+                    block, root, members, size = block + 1, family, 0, 0
+                members, size = members + 1, size + n
+                found.append(block)
+            names = ["node", "root", "n", "at"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(found, pa.int64())], names=[*names, "block"])
+    return run
 
 
 def _compare(width: int, threshold: float):
@@ -147,6 +174,8 @@ def _compare(width: int, threshold: float):
         if group.column("lo")[0].as_py() != group.column("hi")[0].as_py():
             linked &= side[:, None] != side[None, :]
         links = linked @ weight[once]
+        alike = inter * 1000 // np.maximum(size[:, None] + size[None, :] - inter, 1)
+        lowest = np.where(linked, alike, 1000).min(axis=1, initial=1000)
         root = np.arange(m)
         while True:
             low = np.minimum(root, np.where(linked, root[None, :], m).min(axis=1, initial=m))
@@ -154,32 +183,86 @@ def _compare(width: int, threshold: float):
                 break
             root = low
         ordered = [keys[k] for k in once.tolist()]
-        return pa.table({"node": pa.array(ordered, pa.binary()), "links": pa.array(links.astype(np.int64)),
+        return pa.table({"family": pa.array([group.column("family")[0].as_py()] * m, pa.binary()), "node": pa.array(ordered, pa.binary()),
+                         "links": pa.array(links.astype(np.int64)), "lowest": pa.array(lowest.astype(np.int64)),
                          "root": pa.array([ordered[k] for k in root.tolist()], pa.binary())})
     return run
 
 
-def link(signed: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+def _matched(classes: DataFrame, depth: int) -> DataFrame:
+    """``node, root, n, at, block`` of the classes that share a node at ``depth``
+    with another: their family, and the block of it that they are in."""
+    held = classes.select("key", F.explode(nodes(depth)).alias("prefix"))
+    least = held.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high")
+    families = components(held.join(least, "prefix").select(F.col("key").alias("u"), F.col("low").alias("v")))
+    members = families.join(classes, families["node"] == classes["key"]).drop("key")
+    first = F.slice("signature", 1, DEPTH)  # the first trie's order keeps sharers together
+    ordered = members.select("node", "root", "n", "at", "size", first.alias("path")) \
+        .repartitionByRange("root", "path", "node").sortWithinPartitions("root", "path", "node")
+    kind = f"node binary, root binary, n long, at {members.schema['at'].dataType.simpleString()}, block long"
+    return written(ordered.drop("path").mapInArrow(_block_mapper(BLOCK_MEMBERS, BLOCK_SHINGLES), kind), "members")
+
+
+def _sharing(classes: DataFrame, members: DataFrame, depth: int) -> DataFrame:
+    """``block, groups``: the pairs of blocks (lo, hi) that a block is compared in,
+    itself and every block that holds members of one of its nodes."""
+    held = classes.join(members.select(F.col("node").alias("key"), "block"), "key") \
+        .select("block", F.explode(nodes(depth)).alias("prefix")).distinct()
+    wide = held.groupBy("prefix").agg(F.min("block").alias("low"), F.max("block").alias("high")).where("low != high").select("prefix")
+    spread = held.join(wide, "prefix")
+    across = spread.withColumnRenamed("block", "lo").join(spread.withColumnRenamed("block", "hi"), "prefix").where("lo < hi") \
+        .select("lo", "hi").distinct()
+    alone = members.select(F.col("block").alias("lo"), F.col("block").alias("hi")).distinct()
+    pairs = across.union(alone)
+    sides = pairs.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"), F.struct("lo", "hi").alias("pair"))
+    return sides.groupBy("block").agg(F.collect_list("pair").alias("groups"))
+
+
+def _verified(texts: DataFrame, classes: DataFrame, members: DataFrame, depth: int, width: int, threshold: float) -> DataFrame:
+    """``family, node, links, lowest, root`` of every member, for each group it is compared in."""
+    dealt = members.join(_sharing(classes, members, depth), "block")
+    found = texts.join(dealt, texts["doc_id"].eqNullSafe(dealt["at.doc_id"]) & (texts["digest"] == dealt["at.digest"]))
+    once = found.groupBy("node").agg(*[F.first(c).alias(c) for c in ("root", "n", "block", "groups", "text")])  # rows repeated as they are
+    pairs = once.select(F.col("root").alias("family"), "node", "n", "block", F.explode("groups").alias("pair"), "text")
+    return pairs.select("family", "node", "n", "block", "pair.lo", "pair.hi", "text").groupBy("lo", "hi") \
+        .applyInArrow(_compare(width, threshold), "family binary, node binary, links long, lowest long, root binary")
+
+
+def _families(members: DataFrame) -> DataFrame:
+    return members.groupBy("root").agg(F.count(F.lit(1)).alias("of"), (F.min("block") == F.max("block")).alias("whole"))
+
+
+def forest(texts: DataFrame, classes: DataFrame, width: int, threshold: float) -> DataFrame:
+    """The verified matches of all classes (see ``_verified``), prefixes shortened
+    from full depth until the target recall is reached."""
+    depth, before = DEPTH, None
+    while True:
+        members = _matched(classes, depth)
+        if before is None:
+            compared = written(_verified(texts, classes, members, depth, width, threshold), "compared")
+        else:
+            # a family that has as many members as before, in one block then and now, has the same links
+            kept = _families(members).where("whole").join(_families(before[0]).where("whole"), ["root", "of"]).select("root")
+            grown = members.join(kept, "root", "left_anti")
+            same = before[1].join(kept.withColumnRenamed("root", "family"), "family", "left_semi")
+            compared = written(_verified(texts, classes, grown, depth, width, threshold).unionByName(same), "compared")
+        least = compared.where("links > 0").agg(F.min("lowest")).first()[0]
+        shorter = min(depth, prefix_length(threshold if least is None else max(threshold, least / 1000)))
+        if shorter == depth:
+            return compared
+        depth, before = shorter, (members, compared)
+
+
+def link(rows: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """``key, root, class_id, n_links`` of every class of equal shingle sets:
     the key that names its group, the group's smallest doc_id, and the links of
-    each of its documents.  ``signed`` has ``row.doc_id`` and ``row.text``."""
-    copies = signed.where("key IS NOT NULL").groupBy("key").agg(
+    each of its documents.  ``rows`` has ``row.doc_id`` and ``row.text``."""
+    copies = sign(rows, width).where("key IS NOT NULL").groupBy("key").agg(
         F.min("row.doc_id").alias("cid"), F.count(F.lit(1)).alias("n"), F.max("size").alias("size"),
-        F.first("tries").alias("tries"), F.min(F.struct(F.col("row.doc_id").alias("doc_id"), F.md5("row.text").alias("digest"))).alias("at"))
+        F.first("signature").alias("signature"), F.min(F.struct(F.col("row.doc_id").alias("doc_id"), F.md5("row.text").alias("digest"))).alias("at"))
     classes = written(copies, "classes")
-    # Tries: every class hangs on the smallest one under its prefix.
-    held = classes.select("key", F.explode("tries").alias("prefix"))
-    least = held.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high")
-    families = components(held.join(least, "prefix").select(F.col("key").alias("u"), F.col("low").alias("v")))
-    members = written(families.join(classes.drop("tries"), families["node"] == classes["key"]).drop("key"), "members")
-    blocks = members.groupBy("root").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    texts = signed.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")).withColumn("digest", F.md5("text"))
-    found = texts.join(members, texts["doc_id"].eqNullSafe(members["at.doc_id"]) & (texts["digest"] == members["at.digest"])) \
-        .select("node", "root", "n", "text")
-    dealt = found.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "n", "text")
-    compared = written(dealt.groupBy("root", "lo", "hi").applyInArrow(_compare(width, threshold), "node binary, links long, root binary"), "compared")
+    texts = rows.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")).withColumn("digest", F.md5("text"))
+    compared = forest(texts, classes, width, threshold)
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))
     group = components(compared.where("node != root").select(F.col("node").alias("u"), F.col("root").alias("v")))
     joined = written(classes.select("key", "cid", "n").join(links.withColumnRenamed("node", "key"), "key", "left")
@@ -192,9 +275,9 @@ def link(signed: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) ->
 def join(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, class_id, n_links`` of every row: the smallest doc_id of its
     group of linked documents, and the number of other rows it is linked to."""
-    signed = sign(docs, width, threshold, ("doc_id", "text"))
-    found = link(signed, width, threshold)
-    rows = signed.select(F.col("row.doc_id").alias("doc_id"), "key").join(found, "key", "left")
+    rows = K.as_rows(docs, "doc_id", "text")
+    found = link(rows, width, threshold)
+    rows = sign(rows, width, 0).select(F.col("row.doc_id").alias("doc_id"), "key").join(found, "key", "left")
     return rows.select("doc_id", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
@@ -202,9 +285,8 @@ def join(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> D
 def keep_one(docs: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
     """One whole row of every group, the one with the smallest doc_id (of rows
     that share it, one); rows without words all stay."""
-    signed = sign(docs, width, threshold)
-    found = link(signed, width, threshold)
-    rows = signed.select("row", "key").join(found.select("key", "root", "class_id"), "key", "left")
+    found = link(K.as_rows(docs, "doc_id", "text"), width, threshold)
+    rows = sign(K.as_rows(docs), width, 0).select("row", "key").join(found.select("key", "root", "class_id"), "key", "left")
     free = rows.where("key IS NULL").select("row")
     heads = rows.where(F.col("key").isNotNull() & F.col("row.doc_id").eqNullSafe(F.col("class_id")))
     one = heads.groupBy("root").agg(F.min_by("row", F.struct("key", F.md5("row.text"))).alias("row"))

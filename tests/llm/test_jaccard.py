@@ -3,6 +3,7 @@ import random
 import pytest
 
 from panelspark.llm import jaccard
+from panelspark.llm import textkit as K
 from panelspark.llm.components import components
 from tests.llm.common import ODD, frame
 
@@ -78,6 +79,45 @@ def test_prefix_shortens_until_the_recall():
         assert k == 1 or 1 - (1 - s ** k) ** jaccard.TREES >= jaccard.RECALL
 
 
+def test_nodes_are_prefixes_of_a_trie(spark):
+    """Classes under one node at a depth are under one node at every lesser depth."""
+    signed = jaccard.sign(K.as_rows(frame(spark, corpus(5))))
+    at = [signed.select(jaccard.nodes(d).alias("n")).collect() for d in range(1, jaccard.DEPTH + 1)]
+    rows = range(len(at[0]))
+    shared = [{(t, i, j) for t in range(jaccard.TREES) for i in rows for j in rows if i < j and r[i].n[t] == r[j].n[t]} for r in at]
+    assert all(deeper <= lesser for lesser, deeper in zip(shared, shared[1:]))
+    assert len(shared[-1]) < len(shared[0])
+
+
+def depths(monkeypatch):
+    seen, plain = [], jaccard._matched
+    monkeypatch.setattr(jaccard, "_matched", lambda classes, depth: (seen.append(depth), plain(classes, depth))[1])
+    return seen
+
+
+def test_shortens_only_as_far_as_the_links_need(spark, monkeypatch):
+    seen = depths(monkeypatch)
+    base = [f"w{k}" for k in range(400)]
+    close = [" ".join(base), " ".join(base[:-1] + ["x"]), " ".join(base[:-1] + ["y"])]
+    assert {r["n_links"] for r in jaccard.join(frame(spark, close)).collect()} == {2}
+    assert seen == [jaccard.DEPTH]  # similarities of 0.99 need no shorter prefix
+    seen.clear()
+    far = close + [" ".join(base[:-40] + [f"z{k}" for k in range(40)])]  # 356 of 436 shared
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.join(frame(spark, far)).collect()}
+    assert got == brute(far)
+    assert seen[0] == jaccard.DEPTH and seen[-1] == jaccard.prefix_length(0.816) and seen == sorted(seen, reverse=True)
+
+
+@pytest.mark.parametrize("members", [256, 7])
+def test_family_in_many_blocks(spark, monkeypatch, members):
+    """A chain of texts, each near its neighbours only: blocks meet where they share a node."""
+    monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", members)
+    words = [f"w{k}" for k in range(500)]
+    texts = [" ".join(words[3 * k:3 * k + 120]) for k in range(60)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.join(frame(spark, texts)).collect()}
+    assert got == brute(texts)
+
+
 def test_components_of_a_long_path(spark):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (102, 101), (5, 5)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
