@@ -6,7 +6,8 @@ are one *class* before anything else, so copies cost one member.  Each class is
 signed with ``DEPTH`` MinHash values for each of ``TREES`` tries; a node of a trie
 is a prefix of these values, and classes under one node match.
 
-Prefixes are first matched at full depth, and the matches verified.  A link of
+Branches that one class has to itself at the shortest length that can be needed are
+cut off.  Prefixes are then matched at full depth, and the matches verified.  A link of
 similarity s shares a prefix of length k with probability ``1 - (1 - s ** k) **
 TREES``; the prefixes are shortened to the longest length whose recall of the
 least similar link verified so far reaches ``RECALL`` (of the threshold, while no
@@ -14,7 +15,7 @@ link is known), and matched again, until that length no longer shrinks.  It neve
 needs to fall below the length that reaches the target at the threshold.
 
 Matches are verified exactly on all shingles.  Connected matches are a family.
-Its members, sorted by their prefixes, are cut into blocks of bounded size; blocks
+Its members, ranked by their prefixes, are cut into blocks of bounded size; blocks
 are compared where some node has members in both, and the shared shingles of all
 their pairs are counted by a matrix product.  A group returns one row per member
 (how many documents it is linked to, and the smallest member it is connected
@@ -34,8 +35,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelspark.llm import textkit as K
@@ -121,22 +121,6 @@ def nodes(depth: int) -> Column:
     return F.array(*[F.xxhash64(F.lit(t), F.slice("signature", t * DEPTH + 1, depth)) for t in range(TREES)])
 
 
-def _block_mapper(most_members: int, most_shingles: int):
-    """Blocks of sorted members: never of two families, bounded in members and shingles."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, root, members, size = TaskContext.get().partitionId() << 40, None, 0, 0
-        for batch in batches:
-            found = []
-            for family, n in zip(batch.column("root").to_pylist(), batch.column("size").to_pylist()):
-                if family != root or members == most_members or size + n > most_shingles:
-                    block, root, members, size = block + 1, family, 0, 0
-                members, size = members + 1, size + n
-                found.append(block)
-            names = ["node", "root", "n", "at"]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(found, pa.int64())], names=[*names, "block"])
-    return run
-
-
 def _compare(width: int, threshold: float):
     per_mille = round(threshold * 1000)
 
@@ -183,53 +167,62 @@ def _compare(width: int, threshold: float):
                 break
             root = low
         ordered = [keys[k] for k in once.tolist()]
-        return pa.table({"family": pa.array([group.column("family")[0].as_py()] * m, pa.binary()), "node": pa.array(ordered, pa.binary()),
+        return pa.table({"family": pa.array([group.column("root")[0].as_py()] * m, pa.binary()), "node": pa.array(ordered, pa.binary()),
                          "links": pa.array(links.astype(np.int64)), "lowest": pa.array(lowest.astype(np.int64)),
-                         "root": pa.array([ordered[k] for k in root.tolist()], pa.binary())})
+                         "root": pa.array([ordered[k] for k in root.tolist()], pa.binary()),
+                         "alone": pa.array([group.column("alone")[0].as_py()] * m, pa.bool_())})
     return run
 
 
+def _near(classes: DataFrame, threshold: float) -> DataFrame:
+    """Tries without the branches that no other class shares: the classes with a
+    companion at the shortest length that can be needed."""
+    held = classes.select("key", F.explode(nodes(prefix_length(threshold))).alias("prefix"))
+    wide = held.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("prefix")
+    return written(classes.join(held.join(wide, "prefix").select("key").distinct(), "key"), "near")
+
+
 def _matched(classes: DataFrame, depth: int) -> DataFrame:
-    """``node, root, n, at, block`` of the classes that share a node at ``depth``
-    with another: their family, and the block of it that they are in."""
+    """``node, root, n, block, of, alone`` of the classes that share a node at
+    ``depth`` with another: their family, the block of it that they are in, the
+    family's members, and whether it is one block."""
     held = classes.select("key", F.explode(nodes(depth)).alias("prefix"))
     least = held.groupBy("prefix").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high")
     families = components(held.join(least, "prefix").select(F.col("key").alias("u"), F.col("low").alias("v")))
-    members = families.join(classes, families["node"] == classes["key"]).drop("key")
-    first = F.slice("signature", 1, DEPTH)  # the first trie's order keeps sharers together
-    ordered = members.select("node", "root", "n", "at", "size", first.alias("path")) \
-        .repartitionByRange("root", "path", "node").sortWithinPartitions("root", "path", "node")
-    kind = f"node binary, root binary, n long, at {members.schema['at'].dataType.simpleString()}, block long"
-    return written(ordered.drop("path").mapInArrow(_block_mapper(BLOCK_MEMBERS, BLOCK_SHINGLES), kind), "members")
+    members = families.join(classes, families["node"] == classes["key"])
+    path = F.slice("signature", 1, DEPTH)  # the first trie's order keeps sharers together
+    order = ["root", "path", "node"]
+    placed = written(members.select("node", "root", "n", "size", path.alias("path")).repartitionByRange(*order).sortWithinPartitions(*order)
+                     .drop("path").withColumn("place", F.monotonically_increasing_id()).withColumn("part", F.shiftright("place", 33)), "placed")
+    spans = placed.groupBy("root", "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("held"), F.sum("size").alias("weight"))
+    family = Window.partitionBy("root")
+    earlier = family.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("root", "part", "first", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("offset"), F.sum("held").over(family).alias("of"),
+                         F.ceil(F.greatest(F.sum("held").over(family) / BLOCK_MEMBERS, F.sum("weight").over(family) / BLOCK_SHINGLES)).alias("blocks"))
+    rank = F.col("offset") + F.col("place") - F.col("first")
+    return written(placed.join(spans, ["root", "part"]).select("node", "root", "n", F.floor(rank * F.col("blocks") / F.col("of")).alias("block"),
+                                                               "of", (F.col("blocks") == 1).alias("alone")), "members")
 
 
 def _sharing(classes: DataFrame, members: DataFrame, depth: int) -> DataFrame:
-    """``block, groups``: the pairs of blocks (lo, hi) that a block is compared in,
-    itself and every block that holds members of one of its nodes."""
-    held = classes.join(members.select(F.col("node").alias("key"), "block"), "key") \
-        .select("block", F.explode(nodes(depth)).alias("prefix")).distinct()
-    wide = held.groupBy("prefix").agg(F.min("block").alias("low"), F.max("block").alias("high")).where("low != high").select("prefix")
-    spread = held.join(wide, "prefix")
-    across = spread.withColumnRenamed("block", "lo").join(spread.withColumnRenamed("block", "hi"), "prefix").where("lo < hi") \
-        .select("lo", "hi").distinct()
-    alone = members.select(F.col("block").alias("lo"), F.col("block").alias("hi")).distinct()
-    pairs = across.union(alone)
-    sides = pairs.select(F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"), F.struct("lo", "hi").alias("pair"))
-    return sides.groupBy("block").agg(F.collect_list("pair").alias("groups"))
+    """``root, block, groups``: the pairs of blocks (lo, hi) that a family's block is
+    compared in, itself and every block that holds members of one of its nodes."""
+    many = members.where("NOT alone").select(F.col("node").alias("key"), "root", "block")
+    held = classes.join(many, "key").select("root", "block", F.explode(nodes(depth)).alias("prefix")).distinct()
+    across = held.withColumnRenamed("block", "lo").join(held.withColumnRenamed("block", "hi"), ["root", "prefix"]).where("lo < hi") \
+        .select("root", "lo", "hi").distinct()
+    itself = members.select("root", F.col("block").alias("lo"), F.col("block").alias("hi")).distinct()
+    pairs = across.union(itself)
+    sides = pairs.select("root", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("block"), F.struct("lo", "hi").alias("pair"))
+    return sides.groupBy("root", "block").agg(F.collect_list("pair").alias("groups"))
 
 
 def _verified(texts: DataFrame, classes: DataFrame, members: DataFrame, depth: int, width: int, threshold: float) -> DataFrame:
-    """``family, node, links, lowest, root`` of every member, for each group it is compared in."""
-    dealt = members.join(_sharing(classes, members, depth), "block")
-    found = texts.join(dealt, texts["doc_id"].eqNullSafe(dealt["at.doc_id"]) & (texts["digest"] == dealt["at.digest"]))
-    once = found.groupBy("node").agg(*[F.first(c).alias(c) for c in ("root", "n", "block", "groups", "text")])  # rows repeated as they are
-    pairs = once.select(F.col("root").alias("family"), "node", "n", "block", F.explode("groups").alias("pair"), "text")
-    return pairs.select("family", "node", "n", "block", "pair.lo", "pair.hi", "text").groupBy("lo", "hi") \
-        .applyInArrow(_compare(width, threshold), "family binary, node binary, links long, lowest long, root binary")
-
-
-def _families(members: DataFrame) -> DataFrame:
-    return members.groupBy("root").agg(F.count(F.lit(1)).alias("of"), (F.min("block") == F.max("block")).alias("whole"))
+    """``family, node, links, lowest, root, alone`` of every member, for each group it is compared in."""
+    dealt = members.join(_sharing(classes, members, depth), ["root", "block"])
+    found = texts.join(dealt, texts["key"] == dealt["node"]).select("root", "node", "n", "block", "alone", F.explode("groups").alias("pair"), "text")
+    return found.select("root", "node", "n", "block", "alone", "pair.lo", "pair.hi", "text").groupBy("root", "lo", "hi") \
+        .applyInArrow(_compare(width, threshold), "family binary, node binary, links long, lowest long, root binary, alone boolean")
 
 
 def forest(texts: DataFrame, classes: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -242,9 +235,10 @@ def forest(texts: DataFrame, classes: DataFrame, width: int, threshold: float) -
             compared = written(_verified(texts, classes, members, depth, width, threshold), "compared")
         else:
             # a family that has as many members as before, in one block then and now, has the same links
-            kept = _families(members).where("whole").join(_families(before[0]).where("whole"), ["root", "of"]).select("root")
-            grown = members.join(kept, "root", "left_anti")
-            same = before[1].join(kept.withColumnRenamed("root", "family"), "family", "left_semi")
+            kept = members.where("alone").select("root", "of").distinct() \
+                .join(before[0].where("alone").select("root", "of").distinct(), ["root", "of"]).select("root")
+            grown = members.where("NOT alone").union(members.where("alone").join(kept, "root", "left_anti").select(members.columns))
+            same = before[1].where("alone").join(kept.withColumnRenamed("root", "family"), "family", "left_semi")
             compared = written(_verified(texts, classes, grown, depth, width, threshold).unionByName(same), "compared")
         least = compared.where("links > 0").agg(F.min("lowest")).first()[0]
         shorter = min(depth, prefix_length(threshold if least is None else max(threshold, least / 1000)))
@@ -261,8 +255,11 @@ def link(rows: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> D
         F.min("row.doc_id").alias("cid"), F.count(F.lit(1)).alias("n"), F.max("size").alias("size"),
         F.first("signature").alias("signature"), F.min(F.struct(F.col("row.doc_id").alias("doc_id"), F.md5("row.text").alias("digest"))).alias("at"))
     classes = written(copies, "classes")
+    near = _near(classes, threshold)
     texts = rows.select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")).withColumn("digest", F.md5("text"))
-    compared = forest(texts, classes, width, threshold)
+    found = texts.join(near, texts["doc_id"].eqNullSafe(near["at.doc_id"]) & (texts["digest"] == near["at.digest"]))
+    one_each = written(found.groupBy("key").agg(F.first("text").alias("text")), "texts")  # a row may be repeated as it is
+    compared = forest(one_each, near.drop("at"), width, threshold)
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))
     group = components(compared.where("node != root").select(F.col("node").alias("u"), F.col("root").alias("v")))
     joined = written(classes.select("key", "cid", "n").join(links.withColumnRenamed("node", "key"), "key", "left")
