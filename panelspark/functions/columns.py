@@ -28,6 +28,10 @@ def col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Every character of the basic plane that Unicode counts as white space.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+
+
 def is_finite(c: ColumnLike) -> Column:
     """not NULL, not NaN and not +/- infinity (false for NULL).
 
@@ -49,8 +53,9 @@ def is_integer_between(c: ColumnLike, lo: int, hi: int) -> Column:
 
 
 def blank_to_null(c: ColumnLike) -> Column:
-    """Trimmed text, with the empty string turned into NULL."""
-    return F.nullif(F.trim(col(c)), F.lit(""))
+    """Text without white space at its ends (tabs, line ends and Unicode spaces such
+    as the no-break space too), with the empty string turned into NULL."""
+    return F.nullif(F.btrim(col(c), F.lit(WHITE_SPACE)), F.lit(""))
 
 
 def clean_code_text(c: ColumnLike) -> Column:

@@ -78,3 +78,9 @@ def test_is_integer_between_matches_long_form(spark):
     short = [r[0] for r in df.select(is_integer_between("m", 0, 11)).collect()]
     long_ = [r[0] for r in df.selectExpr("coalesce(m IN (0D,1D,2D,3D,4D,5D,6D,7D,8D,9D,10D,11D), false)").collect()]
     assert short == long_ == [True, True, True, False, False, False, False, False, False, False, True]
+
+
+def test_all_white_space_is_trimmed(spark):
+    rows = [(t,) for t in ["\t3.0\n", "\u00a07\u2003", "\u3000 \r\n", "a\u00a0b", " x\ty ", "", None]]
+    df = spark.createDataFrame(rows, "t string")
+    assert [r[0] for r in df.select(clean_code_text("t")).collect()] == ["3", "7", None, "a\u00a0b", "x\ty", None, None]
