@@ -59,17 +59,3 @@ def funnel(df: DataFrame, rules: Sequence[Rule], base_name: str = BASE_STEP) ->
         rows.append(F.struct(F.lit(i).alias("step_no"), F.lit(name).alias("step"),
                              F.col(f"_n{i}").alias("remaining"), excluded.alias("excluded")))
     return counts.select(F.explode(F.array(*rows)).alias("_s")).select("_s.*")
-
-
-def funnel_stepwise(df: DataFrame, rules: Sequence[Rule], base_name: str = BASE_STEP):
-    """Reference-style funnel: one count per step (len(rules)+1 jobs).
-    Kept for tests that check the one-pass funnel against it."""
-    steps = [(0, base_name, df.count(), 0)]
-    current = df
-    previous = steps[0][2]
-    for i, r in enumerate(rules, start=1):
-        current = current.where(r.condition)
-        left = current.count()
-        steps.append((i, r.name, left, previous - left))
-        previous = left
-    return steps
