@@ -129,8 +129,10 @@ def kmeans_sweep(df: DataFrame, features_col: str, ks: Sequence[int] = (2, 3, 4,
     source = fit_input(df, keys, [features_col]) if keys else df.select(features_col)
     with persisted(source.select(features_col)) as feats:
         for k in ks:
+            # Rounds over blocks of rows as matrices; over persisted rows MLlib would
+            # by itself decode and compare them one by one in every round.
             model = KMeans(featuresCol=features_col, predictionCol=prediction_col, k=k,
-                           seed=seed, maxIter=max_iter).fit(feats)
+                           seed=seed, maxIter=max_iter, solver="block").fit(feats)
             sil = evaluator.evaluate(model.transform(feats))
             rows.append((int(k), float(sil), float(model.summary.trainingCost)))
             models[int(k)] = model
@@ -270,5 +272,5 @@ def scaled_sweep(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = (2,
     """``kmeans_sweep`` over standardised ``columns``: the scaler too is fitted
     on the rows as ``fit_input`` lays them out, so nothing depends on the
     number of cores or on the files."""
-    with persisted(fit_input(df, keys, columns)) as rows:
+    with persisted(fit_input(df, keys, columns).select(*columns)) as rows:
         return kmeans_sweep(scaler_pipeline(columns).fit(rows).transform(rows), "features", ks, seed)
