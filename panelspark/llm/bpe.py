@@ -32,7 +32,7 @@ LEAF = 2048
 AGREE = 16
 #: Distinct pieces, and their bytes, kept encoded between slices; and pieces that the
 #: tokenizer gets at a time.  Bounds of memory only.
-CACHE_PIECES, CACHE_BYTES, BATCH_PIECES = 100_000, 8 << 20, 4096
+CACHE_PIECES, CACHE_BYTES, BATCH_PIECES = 300_000, 16 << 20, 4096
 
 _tokenizers: dict[str, object] = {}
 
