@@ -83,3 +83,30 @@ def test_sets_are_told_apart_by_bytes():
     first, second = "".join("ab"[b] for b in morse), "".join("ba"[b] for b in morse)
     a, b, c = oddsketch.exact_sets(pa.array([f"x {first} y", f"x {second} y", f"X {first}  y"]), 2)
     assert not np.intersect1d(a, b).size and np.array_equal(a, c)
+
+
+def test_last_round_meets_few_pairs(spark, monkeypatch):
+    """A family of texts of similarity 0.72, none linked: the sketches of samples
+    leave their pairs, the wide ones do not; and no pair is met once for each band."""
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(1200)]
+    texts = []
+    for k in range(24):
+        words = list(base)
+        for at in rng.sample(range(1200), 49):
+            words[at] = f"own{k}_{at}"
+        texts.append(" ".join(words))
+    met, crossing = [], oddsketch.crossing
+
+    def noted(placed, percent):
+        placed = placed.cache()
+        coarse = placed.alias("x").join(placed.alias("y"), "band").where("x.key < y.key")
+        met.append(coarse.select("x.key", "y.key", "x.about", "y.about").toDF("u", "v", "au", "av")
+                   .where(oddsketch._close("au", "av", percent)).count())
+        met.append(crossing(placed, percent).count())
+        return crossing(placed, percent)
+
+    monkeypatch.setattr(oddsketch, "crossing", noted)
+    texts += [texts[0] + " and a tail"]
+    assert result(frame(spark, texts)) == brute(texts)
+    assert met[0] > 1000 and met[1] < 20
