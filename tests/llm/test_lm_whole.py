@@ -66,3 +66,34 @@ def test_heads_change_no_score_and_unseen_bigrams_back_off(spark):
         same(half, *brute(texts, target, texts))
     other = ["w39 w0 w38 new words w1", "w3 w3 w3", "", "never seen before"]
     same(lm.score(frame(spark, other), model).collect(), *brute(texts, target, other))
+
+
+@pytest.mark.parametrize("head_words", [1, 9, 100])
+def test_learned_documents_dealt_by_bigram(spark, monkeypatch, head_words):
+    """Scores of the documents that were learned, which take no join of all bigrams:
+    of head words, of rare words and of both, in many parts, of repeated rows and
+    odd ids, with a table of targets so small that it hits other documents."""
+    rng = random.Random(9)
+    pool = [f"w{k}" for k in range(40)]
+    texts = [" ".join(rng.choices(pool, [1 / (1 + k) for k in range(40)], k=rng.randint(0, 60))) for _ in range(60)] + ODD
+    target = list(range(0, len(texts), 3))
+    monkeypatch.setattr(lm, "PART_WORDS", 100)
+    monkeypatch.setattr(lm, "FILTER_BITS", 6)
+    monkeypatch.setattr(lm, "HOT", 12)
+    monkeypatch.setattr(lm, "_looked_up", lambda *a: pytest.fail("joined all bigrams"))
+    docs = frame(spark, texts)
+    model = lm.train(docs, spark.createDataFrame([(k,) for k in [*target, *target, None, 10 ** 12]], "doc_id long"), head_words=head_words, head_bigrams=7)
+    assert 0 < len(model.head.pair) <= 7 and len(model.wanted.value[1])
+    same(lm.score(docs, model).collect(), *brute(texts, target, texts))
+    ids = [0, 0, 1, 1, 2, None, 2]
+    few = ["a b c a b", "a b c a b", "a b", "c c c c a", None, "a b c", "b c a b"]
+    docs = spark.createDataFrame(list(zip(ids, few)), "doc_id long, text string")
+    model = lm.train(docs, spark.createDataFrame([(0,), (2,)], "doc_id long"), head_words=head_words)
+    wanted, every = brute(few, [0, 1, 4, 6], few)
+    rows = lm.score(docs, model).collect()
+    key = lambda x: (str(x[0]), str(x[1]))
+    got = sorted(((r["row"]["doc_id"], r["row"]["text"], r["target_loss"], r["background_loss"]) for r in rows), key=key)
+    want = sorted(zip(ids, few, wanted, every), key=key)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    for g, w in zip(got, want):
+        assert g[2:] == pytest.approx(w[2:])
