@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelspark.functions.columns import map_literal
+from panelspark.operators import rounds
 from panelspark.operators.quantiles import quantiles_of, widened
 from panelspark.operators.stats import combine_by_key
 
@@ -116,26 +117,29 @@ def standardized_columns(df: DataFrame, columns: Sequence[str], keep: Sequence[s
 
 def kmeans_sweep(df: DataFrame, features_col: str, ks: Sequence[int] = (2, 3, 4, 5),
                  seed: int = 42, prediction_col: str = "cluster", max_iter: int = 20,
-                 keys: Sequence[str] | None = None) -> tuple[DataFrame, dict[int, KMeansModel]]:
+                 keys: Sequence[str] | None = None, rows_of: int | None = None, count_col: str | None = None,
+                 raw: Sequence[str] = ()) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """Fit KMeans for every k; silhouette (squared Euclidean) and WSSSE.
 
     Returns the result table ``k, silhouette, wssse, chosen`` (chosen = max
     silhouette, smallest k on ties) and the fitted models.  With ``keys`` the
-    features are first laid out by ``fit_input`` (reproducible fits).
+    features are first laid out by ``fit_input`` (reproducible fits).  More than
+    ``rounds.MANY_ROWS`` rows are not laid out: all k are then fitted in shared
+    passes that follow the rows alone (``operators.rounds``).  ``rows_of``: the
+    number of rows, where known; ``count_col``: how many of them a row stands for;
+    ``raw``: the columns that the features are scaled from.
     """
-    evaluator = ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction_col,
-                                    metricName="silhouette", distanceMeasure="squaredEuclidean")
-    rows, models = [], {}
-    source = fit_input(df, keys, [features_col]) if keys else df.select(features_col)
-    with persisted(source.select(features_col)) as feats:
-        for k in ks:
-            # Rounds over blocks of rows as matrices; over persisted rows MLlib would
-            # by itself decode and compare them one by one in every round.
-            model = KMeans(featuresCol=features_col, predictionCol=prediction_col, k=k,
-                           seed=seed, maxIter=max_iter, solver="block").fit(feats)
-            sil = evaluator.evaluate(model.transform(feats))
-            rows.append((int(k), float(sil), float(model.summary.trainingCost)))
-            models[int(k)] = model
+    # Rounds over blocks of rows as matrices; over persisted rows MLlib would
+    # by itself decode and compare them one by one in every round.
+    estimators = {int(k): KMeans(featuresCol=features_col, predictionCol=prediction_col, k=k,
+                                 seed=seed, maxIter=max_iter, solver="block") for k in ks}
+    n = df.count() if rows_of is None else rows_of
+    if n > rounds.MANY_ROWS or count_col is not None:
+        fitted = rounds.shared_sweep(df, estimators, seed, count_col, raw)
+    else:
+        fitted = _row_sweep(df, estimators, keys, n)
+    rows = [(k, float(sil), float(cost)) for k, (_, sil, cost) in fitted.items()]
+    models = {k: model for k, (model, _, _) in fitted.items()}
     best = sorted(rows, key=lambda r: (-r[1], r[0]))[0][0]
     schema = T.StructType([T.StructField("k", T.IntegerType()),
                            T.StructField("silhouette", T.DoubleType()),
@@ -145,6 +149,21 @@ def kmeans_sweep(df: DataFrame, features_col: str, ks: Sequence[int] = (2, 3, 4,
     return table, models
 
 
+def _row_sweep(df: DataFrame, estimators: Mapping[int, KMeans], keys: Sequence[str] | None, n: int
+               ) -> dict[int, tuple[KMeansModel, float, float]]:
+    """(model, silhouette, cost) of every k, fitted by MLlib one after another."""
+    features_col, prediction_col = (next(iter(estimators.values())).getOrDefault(c) for c in ("featuresCol", "predictionCol"))
+    evaluator = ClusteringEvaluator(featuresCol=features_col, predictionCol=prediction_col,
+                                    metricName="silhouette", distanceMeasure="squaredEuclidean")
+    fitted = {}
+    source = fit_input(df, keys, [features_col], fit_partitions(n)) if keys else df.select(features_col)
+    with persisted(source.select(features_col)) as feats:
+        for k, estimator in estimators.items():
+            model = estimator.fit(feats)
+            fitted[k] = (model, evaluator.evaluate(model.transform(feats)), model.summary.trainingCost)
+    return fitted
+
+
 def canonical_cluster_map(model: KMeansModel) -> dict[int, int]:
     """Cluster id -> rank of its centre in lexicographic order.
 
@@ -271,6 +290,12 @@ def scaled_sweep(df: DataFrame, columns: Sequence[str], ks: Sequence[int] = (2,
                  keys: Sequence[str] = ()) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """``kmeans_sweep`` over standardised ``columns``: the scaler too is fitted
     on the rows as ``fit_input`` lays them out, so nothing depends on the
-    number of cores or on the files."""
-    with persisted(fit_input(df, keys, columns).select(*columns)) as rows:
-        return kmeans_sweep(scaler_pipeline(columns).fit(rows).transform(rows), "features", ks, seed)
+    number of cores or on the files.  Of many rows (``rounds.MANY_ROWS``) the
+    scaler is fitted as they lie, and rows equal in ``columns`` are scaled once."""
+    n = df.count()
+    if n > rounds.MANY_ROWS:
+        counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+        scaled = scaler_pipeline(columns).fit(df.select(*columns)).transform(counted)
+        return kmeans_sweep(scaled, "features", ks, seed, rows_of=n, count_col="rows", raw=columns)
+    with persisted(fit_input(df, keys, columns, fit_partitions(n)).select(*columns)) as rows:
+        return kmeans_sweep(scaler_pipeline(columns).fit(rows).transform(rows), "features", ks, seed, rows_of=n)
