@@ -1,10 +1,13 @@
 """Forests of many bagged rows, grown over binned cells instead of rows."""
 
+import datetime
+
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from panelspark.operators import forest, regress
+from panelspark.plans import catalog
 
 SPEC = regress.FeatureSpec(numeric=("a", "b"), categorical=("c",), label="y")
 
@@ -86,3 +89,24 @@ def test_too_many_cells_are_left_to_mllib(rows, swept, monkeypatch):
 def test_labels_must_be_there(rows, swept):
     with pytest.raises(Exception, match="Null or NaN"):
         swept(rows.withColumn("y", F.when(F.col("id") != 7, F.col("y"))), 0)
+
+
+def test_rf_sweep_grows_all_its_trees_over_cells(spark, tmp_path, monkeypatch):
+    made = [(k, k % 40, k % 10, k % 4 + 1, float(k % 23 + 1), 900.0 + 7 * (k % 101), k % 7 / 100, k % 5 / 100,
+             "ANR"[k % 3], "FO"[k // 3 % 2], datetime.datetime(1995 + k % 6, 3, 1)) for k in range(1200)]
+    spark.createDataFrame(made, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    fitted = []
+
+    def fit(cells, est, fit_cells=forest.fit_cells):
+        # The labels are one a cell, and rows of one cell and label are one counted row: no cell is a hot partition.
+        counted = cells.counted.agg(F.count(F.lit(1)), F.countDistinct("cell"), F.sum("m")).first()
+        assert counted[0] == counted[1] < counted[2]
+        fitted.append(fit_cells(cells, est))
+        return fitted[-1]
+    monkeypatch.setattr(forest, "MANY_BAGGED", 0)
+    monkeypatch.setattr(forest, "fit_cells", fit)
+    rows = {r["num_trees"]: r for r in catalog.q_rf_sweep(spark, str(tmp_path)).collect()}
+    assert sorted(rows) == [60, 120] and [m.getNumTrees for m in fitted] == [60, 120]
+    assert all(r["r2"] > 0.9 for r in rows.values()) and sum(r["chosen"] for r in rows.values()) == 1
